@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.fixed_values import Rule
+from shelfcast.operators.joins import last_attribute
 
 # Both sides of the store-by-product frame are cut into this many parts.
 _PARTS = 16
@@ -265,9 +266,7 @@ def future_frame(
     levels = [c for c in levels if c in df.columns]
     attributes = [c for c in attributes if c in df.columns]
     products = template.select(*levels, "business_unit").distinct()
-    stores = df.groupBy("store").agg(
-        F.max(date).alias("_seen"), *[F.max_by(a, F.struct(date, a)).alias(a) for a in attributes]
-    )
+    stores = last_attribute(df, "store", attributes, date)
     parts = F.sequence(F.lit(0), F.lit(_PARTS - 1))
     stores = stores.select(
         "store",

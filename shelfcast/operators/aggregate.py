@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions.calendar import period_end
+from shelfcast.operators.joins import last_attribute
 from shelfcast.schema import MEASURES, SERIES
 from shelfcast.session import materialise
 
@@ -49,14 +50,18 @@ def densify(
     sold = df.dropna(subset=[date, *keys])
     carried = [a for names in (attributes or {}).values() for a in names]
     period = period_end(F.col(date), freq)
-    cells = sold.groupBy(period.alias("_period"), *keys).agg(
-        *[F.sum(m).alias(m) for m in measures],
-        *[F.max(F.struct(F.col(date).alias("at"), F.col(a).alias("value"))).alias(a) for a in carried],
+    # Attributes are grouping keys here rather than struct maxima: that buffer of fixed-width values
+    # hashes, where one of strings would have to sort the whole input.
+    cells = sold.groupBy(period.alias("_period"), *keys, *carried).agg(
+        *[F.sum(m).alias(m) for m in measures], F.max(date).alias("_at")
     )
     if cut:
         cells = materialise(cells)
-    kinds = {f.name: f.dataType for f in cells.schema}
-    per_series = cells.groupBy(*keys).agg(
+    entries = cells
+    if carried:
+        entries = cells.groupBy("_period", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    kinds = {f.name: f.dataType for f in entries.schema}
+    per_series = entries.groupBy(*keys).agg(
         F.collect_list(
             F.struct(
                 F.col("_period").alias(date),
@@ -80,7 +85,7 @@ def densify(
         raise ValueError(f"axis: {axis}")
     per_series = per_series.withColumn("_axis", axis_frame.scalar())
     for key, names in (attributes or {}).items():
-        lookup = cells.groupBy(key).agg(*[F.max(a)["value"].alias(a) for a in names])
+        lookup = last_attribute(cells, key, names, "_at")
         per_series = per_series.join(lookup, key, "left")
     missing = F.array_except("_axis", F.transform("cells", lambda cell: cell[date]))
     zeros = F.transform(

@@ -24,13 +24,16 @@ def last_attribute(
 ) -> DataFrame:
     """Last value of each attribute per key: the latest date wins, then the largest value.
 
-    Partial aggregation keeps one value per key and task, so a hot key costs no more than others.
+    The first aggregation keeps the last date of each distinct combination of values. Its buffer is
+    one date, so it hashes without sorting and a hot key shrinks before any shuffle; the choice by
+    (date, value) then sees only those few combinations.
     """
-    return (
+    seen = (
         df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[F.max_by(a, F.struct(order, a)).alias(a) for a in attributes])
+        .groupBy(key, *attributes)
+        .agg(F.max(order).alias("_at"))
     )
+    return seen.groupBy(key).agg(*[F.max_by(a, F.struct("_at", a)).alias(a) for a in attributes])
 
 
 def attach_last(
