@@ -1,7 +1,7 @@
 """Additive forecast per series: trend with changepoints, seasons, events and regressors.
 
-Spark builds the design and groups it by series; the only Python is the solve of one small
-penalised system per series and trial.
+Spark groups the observations by series and builds the design; the only Python is the solve of one
+small penalised system per series and trial, fed by Arrow batches in the same stage.
 """
 
 from __future__ import annotations
@@ -51,12 +51,12 @@ def forecast(
     carried = [a for a in ATTRIBUTES if a in rows.columns and a not in keys]
     design = design_matrix(rows, cfg).select(
         *keys, *carried, "ds", "y", "is_train", *cfg.regressors, "t", "x", "y_scale",
-        "n_cp", "n_season", "_cp_prior", "_season_prior",
+        "n_cp", "n_season", "_cp_prior", "_season_prior", "pos",
     )
     kept = [*keys, *carried, "ds", "y", "is_train", *cfg.regressors]
     schema = T.StructType([design.schema[c] for c in kept])
     schema = schema.add("yhat", "double").add("_spread", "double")
-    fitted = design.groupBy(*keys).applyInArrow(solve.forecast_series(cfg.holidays_prior), schema)
+    fitted = design.mapInArrow(solve.forecast_batches(cfg.holidays_prior, kept), schema)
     width = F.lit(NormalDist().inv_cdf(0.5 + cfg.interval_width / 2)) * F.col("_spread")
     bounded = fitted.withColumns(
         {"yhat_upper": F.col("yhat") + width, "yhat_lower": F.col("yhat") - width}
@@ -80,13 +80,12 @@ def cross_validate(
     """
     rows = with_fold(series_rows(series, cfg, keys, unique), cfg, cutoffs, horizon)
     design = design_matrix(rows, cfg).select(
-        *keys, "cutoff", "ds", "y", "is_train", "x", "y_scale", "n_cp", "n_season"
+        *keys, "cutoff", "ds", "y", "is_train", "x", "y_scale", "n_cp", "n_season", "pos"
     )
     kept = [*keys, "cutoff", "ds", "y"]
     schema = T.StructType([design.schema[c] for c in kept])
     schema = schema.add("trial_id", T.IntegerType()).add("yhat", "double")
-    tested = solve.test_predictions(trials, cfg.holidays_prior, kept)
-    return design.groupBy(*keys, "cutoff").applyInArrow(tested, schema)
+    return design.mapInArrow(solve.test_batches(trials, cfg.holidays_prior, kept), schema)
 
 
 def apply_per_series(

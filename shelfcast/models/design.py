@@ -221,12 +221,13 @@ def design_matrix(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
 
     ``x`` is intercept, scaled time, one hinge per changepoint, yearly and weekly Fourier pairs, one
     indicator per event and the regressors. ``n_cp`` and ``n_season`` say how many hinges and waves
-    it holds; yearly waves need two years of history. Takes the rows of ``with_future`` or
+    it holds, ``pos`` counts the points of a series from 0; yearly waves need two years of history. Takes the rows of ``with_future`` or
     ``with_fold``; everything is a projection, so the rows stay where they are.
     """
     scaled = _scales(rows, cfg)
     passed = [c for c in scaled.columns if c not in ("train", "points", "_reach")]
-    points = scaled.select(*passed, F.inline_outer("points"))
+    points = scaled.select(*passed, F.posexplode_outer("points").alias("pos", "_point"))
+    points = points.select(*passed, "pos", "_point.*")
     days = F.datediff(F.col("ds"), F.lit(EPOCH))
     position = {"t": (days - F.col("first_day")) / F.col("span")}
     if cfg.country_holidays:

@@ -1,12 +1,14 @@
-"""The solve of one series: the only Python that runs inside tasks.
+"""The solve of each series: the only Python that runs inside tasks.
 
-Spark hands over the design rows of one series at a time, at most one per calendar day.
+Spark streams design rows in Arrow batches, series after series; a series has at most one row per
+calendar day, and no more than one batch and one series are held at a time.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -57,55 +59,111 @@ def fit_map(
     return beta, np.sqrt(noise)
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    flat = table.column("x").combine_chunks().flatten()
-    return flat.to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
-
-
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy()
-
-
-def forecast_series(holidays_prior: float) -> Callable[[pa.Table], pa.Table]:
-    def run(table: pa.Table) -> pa.Table:
-        x, train = _matrix(table), _column(table, "is_train").astype(bool)
-        y, scale = _column(table, "y").astype(float), float(_column(table, "y_scale")[0])
-        known = y[train]
-        if len(known) < 2:
-            level = float(known.mean()) if len(known) else np.nan
-            yhat, spread = np.full(len(y), level), np.full(len(y), np.nan)
-        else:
-            n_cp, n_season = (int(_column(table, c)[0]) for c in ("n_cp", "n_season"))
-            priors = np.array([[_column(table, c)[0] for c in ("_cp_prior", "_season_prior")]])
-            beta, noise = fit_map(x[train], known / scale, n_cp, n_season, priors, holidays_prior)
-            yhat = x @ beta[0] * scale
-            # Trend bends keep coming at the historic rate and size after the last observation.
-            ahead = np.maximum(_column(table, "t") - 1.0, 0.0)
-            size = np.abs(beta[0, 2 : 2 + n_cp]).mean() if n_cp else 0.0
-            spread = scale * np.sqrt(noise[0] ** 2 + 2 * n_cp * size**2 * ahead**3 / 3)
-        kept = table.drop_columns(["x", "t", "y_scale", "n_cp", "n_season"])
-        kept = kept.drop_columns(["_cp_prior", "_season_prior"])
-        kept = kept.append_column("yhat", pa.array(yhat, mask=np.isnan(yhat)))
-        return kept.append_column("_spread", pa.array(spread, mask=np.isnan(spread)))
+class Series(NamedTuple):
+    """The design rows of one series: where they lie in their table, and as numpy arrays."""
+
+    start: int
+    stop: int
+    x: np.ndarray
+    y: np.ndarray
+    train: np.ndarray
+    head: dict[str, float]
+
+
+def whole_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Cut a stream of batches at series starts (``pos`` 0), so that no table splits a series.
+
+    The rows of a series are adjacent, since they come straight out of one exploded array.
+    """
+    held: list[pa.Table] = []
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        starts = np.flatnonzero(table.column("pos").to_numpy() == 0)
+        if not len(starts):
+            held.append(table)
+            continue
+        done = pa.concat_tables([*held, table.slice(0, starts[-1])])
+        held = [table.slice(starts[-1])]
+        if done.num_rows:
+            yield done.combine_chunks()
+    if held and sum(t.num_rows for t in held):
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def series_of(table: pa.Table, heads: Sequence[str]) -> Iterator[Series]:
+    lists = table.column("x").chunk(0)
+    offsets = lists.offsets.to_numpy()
+    values = lists.values.to_numpy(zero_copy_only=False)
+    y = table.column("y").to_numpy().astype(float)
+    train = table.column("is_train").to_numpy().astype(bool)
+    constant = {h: table.column(h).to_numpy() for h in heads}
+    starts = np.flatnonzero(table.column("pos").to_numpy() == 0)
+    for start, stop in zip(starts, [*starts[1:], table.num_rows]):
+        x = values[offsets[start] : offsets[stop]].reshape(stop - start, -1)
+        head = {h: v[start] for h, v in constant.items()}
+        yield Series(start, stop, x, y[start:stop], train[start:stop], head)
+
+
+def forecast_batches(
+    holidays_prior: float, kept: Sequence[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Add fitted values and the spread of their error to the rows of every series."""
+    heads = ("y_scale", "n_cp", "n_season", "_cp_prior", "_season_prior")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_tables(batches):
+            yhat, spread = np.full((2, table.num_rows), np.nan)
+            position = table.column("t").to_numpy()
+            for s in series_of(table, heads):
+                rows, known = slice(s.start, s.stop), s.y[s.train]
+                if len(known) < 2:
+                    yhat[rows] = known.mean() if len(known) else np.nan
+                    continue
+                scale, n_cp = s.head["y_scale"], int(s.head["n_cp"])
+                priors = np.array([[s.head["_cp_prior"], s.head["_season_prior"]]])
+                beta, noise = fit_map(
+                    s.x[s.train], known / scale, n_cp, int(s.head["n_season"]), priors, holidays_prior
+                )
+                yhat[rows] = s.x @ beta[0] * scale
+                # Trend bends keep coming at the historic rate and size after the last observation.
+                ahead = np.maximum(position[rows] - 1.0, 0.0)
+                size = np.abs(beta[0, 2 : 2 + n_cp]).mean() if n_cp else 0.0
+                spread[rows] = scale * np.sqrt(noise[0] ** 2 + 2 * n_cp * size**2 * ahead**3 / 3)
+            fitted = table.select(list(kept))
+            for name, column in (("yhat", yhat), ("_spread", spread)):
+                fitted = fitted.append_column(name, pa.array(column, mask=np.isnan(column)))
+            yield from fitted.to_batches()
 
     return run
 
 
-def test_predictions(
+def test_batches(
     trials: Sequence[tuple[int, float, float]], holidays_prior: float, kept: Sequence[str]
-) -> Callable[[pa.Table], pa.Table]:
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Predict the test rows of every series and fold once per trial."""
     numbers = np.array([t[0] for t in trials], dtype=np.int32)
     priors = np.array([t[1:] for t in trials], dtype=float)
-
-    def run(table: pa.Table) -> pa.Table:
-        x, train = _matrix(table), _column(table, "is_train").astype(bool)
-        y, scale = _column(table, "y").astype(float), float(_column(table, "y_scale")[0])
-        n_cp, n_season = (int(_column(table, c)[0]) for c in ("n_cp", "n_season"))
-        beta, _ = fit_map(x[train], y[train] / scale, n_cp, n_season, priors, holidays_prior)
-        yhat = beta @ x[~train].T * scale
-        tested = table.filter(pa.array(~train)).select(list(kept))
-        repeated = tested.take(np.tile(np.arange(tested.num_rows), len(numbers)))
-        ids = pa.array(np.repeat(numbers, tested.num_rows))
-        return repeated.append_column("trial_id", ids).append_column("yhat", pa.array(yhat.ravel()))
+    heads = ("y_scale", "n_cp", "n_season")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_tables(batches):
+            rows, predicted = [], []
+            for s in series_of(table, heads):
+                scale = s.head["y_scale"]
+                beta, _ = fit_map(
+                    s.x[s.train],
+                    s.y[s.train] / scale,
+                    int(s.head["n_cp"]),
+                    int(s.head["n_season"]),
+                    priors,
+                    holidays_prior,
+                )
+                rows.append(s.start + np.flatnonzero(~s.train))
+                predicted.append(beta @ s.x[~s.train].T * scale)
+            tested = np.concatenate(rows)
+            yhat = np.concatenate(predicted, axis=1)
+            repeated = table.select(list(kept)).take(np.tile(tested, len(numbers)))
+            repeated = repeated.append_column("trial_id", pa.array(np.repeat(numbers, len(tested))))
+            yield from repeated.append_column("yhat", pa.array(yhat.ravel())).to_batches()
 
     return run
