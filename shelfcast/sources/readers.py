@@ -77,7 +77,11 @@ def read_dimension(
         .csv(path)
     )
     fields = F.size(F.split(F.col(_CORRUPT), f"\\Q{sep}\\E", -1))
-    return lines.filter(F.col(_CORRUPT).isNull() | (fields <= len(header))).drop(_CORRUPT)
+    # Always true, and needs every column: Spark refuses a scan of the corrupt-line column alone,
+    # which a mere count would otherwise be reduced to.
+    parsed = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in header])) >= 0
+    whole = F.col(_CORRUPT).isNull() | (fields <= len(header))
+    return lines.filter(parsed & whole).drop(_CORRUPT)
 
 
 def read_promotions(
