@@ -870,18 +870,35 @@ def suite_line_merged(spark, sf):
     )
 
 
-@query
-def device_line_forecast(spark, sf):
-    line = lines.DEVICES_WITH_CHRISTMAS
+def _device_inputs(spark: SparkSession, sf: str):
     raw, history, dimension = _line_inputs(spark, sf, fixed.DEVICE_PRODUCTS, "product_division")
     raw = raw.withColumn("Super Division", F.lit(fixed.DEVICE_DIVISIONS[0]))
-    history = history.drop("product_division")
     promos = promotions_from_star(spark, sf).withColumn(
         "sale_date", F.add_months("sale_date", 12 * YEARS_BACK)
     )
     names = {f"Brand#{i + 1}": p for i, p in enumerate(fixed.DEVICE_PRODUCTS)}
     promos = clean.replace_values(promos, "business_unit", names)
+    return raw, history.drop("product_division"), dimension, promos
+
+
+@query
+def device_line_frame(spark, sf):
+    line = lines.DEVICES_WITH_CHRISTMAS
+    raw, history, dimension, promos = _device_inputs(spark, sf)
+    new = product_line.dense_sales(product_line.clean_sales(raw, line, history, dimension), line)
+    return product_line.model_frame(product_line.merged_sales(new, history, line), line, promos)
+
+
+@query
+def device_line_forecast(spark, sf):
+    raw, history, dimension, promos = _device_inputs(spark, sf)
     frames = product_line.run_product_line(
-        line, raw, history, dimension, promos, dt.date(2021, 9, 30), RUN_DATE
+        lines.DEVICES_WITH_CHRISTMAS,
+        raw,
+        history,
+        dimension,
+        promos,
+        dt.date(2021, 9, 30),
+        RUN_DATE,
     )
     return frames["predicted"]

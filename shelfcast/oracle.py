@@ -264,19 +264,26 @@ template AS (
   SELECT DISTINCT super_division, product_division, business_unit FROM kept, last
   WHERE sale_date = d {only})"""
 
-CONSOLE_LINE = f""",
+def _line_base(
+    names: list[str], replaced: str, merged_columns: str, level: str = "product_division"
+) -> str:
+    """Raw sales of a product line from 2020 on, history before that, and both merged.
+
+    ``replaced`` rewrites columns of the new sales only. The dense part has every series of the new
+    sales on every day of theirs, with the last attributes of its store and product.
+    """
+    product = "business_unit"
+    for i, name in enumerate(names):
+        product = f"CASE WHEN business_unit = 'Brand#{i + 1}' THEN '{name}' ELSE {product} END"
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f""",
 mapped AS (
-  SELECT last_raw.*, CASE WHEN business_unit = 'Brand#1' THEN 'Xbox Series S'
-    WHEN business_unit = 'Brand#2' THEN 'Xbox Series X'
-    WHEN business_unit = 'Brand#3' THEN 'Game Pass PC' ELSE business_unit END AS product
-  FROM (SELECT * REPLACE (CAST(sale_date + INTERVAL 20 YEAR AS DATE) AS sale_date) FROM kept) last_raw),
-lines AS (
-  SELECT sale_date, store, city, postal_code, super_division, product_division,
-         product AS business_unit, quantity, amount
-  FROM mapped WHERE product IN ('Xbox Series S', 'Xbox Series X', 'Game Pass PC')),
+  SELECT * REPLACE ({product} AS business_unit, CAST(sale_date + INTERVAL 20 YEAR AS DATE) AS sale_date)
+  FROM kept),
+lines AS (SELECT * REPLACE ({level} AS product_division) FROM mapped WHERE business_unit IN ({listed})),
 history AS (SELECT * FROM lines WHERE sale_date < DATE '2020-01-01'),
 fresh AS (
-  SELECT * FROM lines WHERE sale_date >= DATE '2020-01-01' AND store <> 'NATION_8'
+  SELECT * {replaced} FROM lines WHERE sale_date >= DATE '2020-01-01' AND store <> 'NATION_8'
     AND store IN (SELECT store FROM history)),
 fresh_cells AS (
   SELECT sale_date, store, business_unit, sum(quantity) AS quantity, sum(amount) AS amount
@@ -303,32 +310,80 @@ dense AS (
   LEFT JOIN fresh_cells c ON c.sale_date = d.sale_date AND c.store = p.store
     AND c.business_unit = p.business_unit),
 merged AS (
-  SELECT DISTINCT sale_date, store, city, postal_code, super_division, product_division,
-         business_unit, quantity, CAST(amount AS DECIMAL(28,2)) AS amount
-  FROM (SELECT * FROM history UNION ALL SELECT * FROM dense)),
+  SELECT {merged_columns} FROM (SELECT * FROM history UNION ALL SELECT * FROM dense))"""
+
+
+def _line_frame(levels: str) -> str:
+    """Months of the distinct merged sales, with zero rows up to the end of the next month."""
+    return f""",
 last_merged AS (SELECT max(sale_date) AS d FROM merged),
 merged_store AS (
   SELECT store, max(city) AS city FROM (
     SELECT store, first_value(city) OVER (PARTITION BY store ORDER BY sale_date DESC, city DESC) AS city
     FROM merged) GROUP BY store),
 ahead AS (
-  SELECT s.store, s.city, t.super_division, t.product_division, t.business_unit, m.ds
+  SELECT s.store, s.city, {levels}, t.business_unit, m.ds
   FROM merged_store s
-  CROSS JOIN (SELECT DISTINCT super_division, product_division, business_unit FROM merged, last_merged
-              WHERE sale_date = d) t
+  CROSS JOIN (SELECT DISTINCT {levels}, business_unit FROM merged, last_merged WHERE sale_date = d) t
   CROSS JOIN (SELECT DISTINCT last_day(CAST(unnest(range(d + 1, last_day(d + INTERVAL 1 MONTH)
               + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)) AS ds FROM last_merged) m),
 frame AS (
-  SELECT store, city, super_division, product_division, business_unit, sale_date,
+  SELECT store, city, {levels}, business_unit, sale_date,
          CAST(sum(quantity) AS BIGINT) AS quantity, min(future) AS is_future
-  FROM (SELECT store, city, super_division, product_division, business_unit,
-               last_day(sale_date) AS sale_date, quantity, 0 AS future FROM merged
+  FROM (SELECT store, city, {levels}, business_unit, last_day(sale_date) AS sale_date, quantity,
+               0 AS future FROM merged
         UNION ALL SELECT *, 0, 1 FROM ahead)
-  GROUP BY ALL)
+  GROUP BY ALL)"""
+
+
+CONSOLE_LINE = (
+    _line_base(
+        CONSOLES,
+        "",
+        """DISTINCT sale_date, store, city, postal_code, super_division, product_division,
+         business_unit, quantity, CAST(amount AS DECIMAL(28,2)) AS amount""",
+    )
+    + _line_frame("super_division, product_division")
+    + f"""
 SELECT store, city, super_division, product_division, business_unit,
        {_case(CONSOLE_BLACK_WEEK, NOVEMBER)} AS black_week, {_case(CONSOLE_CHRISTMAS, "0")} AS christmas,
        CAST(sale_date AS VARCHAR) AS ds, quantity AS y, is_future
 FROM frame"""
+)
+SUITE_LINE = (
+    _line_base(
+        SUITES,
+        """REPLACE (CASE super_division WHEN 'SMALL GOODS' THEN 'EDG Managed - Office License and HP'
+          ELSE 'EDG Managed - O365 Commercial' END AS super_division,
+          CASE business_unit WHEN 'Office for Mac' THEN 'Office Standard' ELSE business_unit END
+          AS business_unit)""",
+        "*",
+    )
+    + f" SELECT store, super_division, business_unit, {TOTALS} FROM merged GROUP BY ALL"
+)
+DEVICE_LINE = (
+    _line_base(
+        DEVICES,
+        "REPLACE ('EDG Managed - Surface Devices' AS super_division)",
+        """DISTINCT sale_date, store, city, postal_code, super_division, business_unit, quantity,
+         CAST(amount AS DECIMAL(28,2)) AS amount""",
+        "business_unit",
+    )
+    + _line_frame("super_division")
+    + PROMOS.format(least="0.09")
+    + f""",
+named_promos AS (
+  SELECT DISTINCT CASE {" ".join(f"WHEN business_unit = 'Brand#{i + 1}' THEN '{n}'"
+                                 for i, n in enumerate(DEVICES))} ELSE business_unit END AS product,
+         last_day(sale_date + INTERVAL 20 YEAR) AS month_end FROM promos),
+flagged AS (
+  SELECT f.*, CASE WHEN p.product IS NULL THEN 0 ELSE 1 END AS promos FROM frame f
+  LEFT JOIN named_promos p ON p.product = f.business_unit AND p.month_end = f.sale_date)
+SELECT store, city, super_division, business_unit, {_case(DEVICE_BLACK_WEEK, "0")} AS black_week, promos,
+       {_case(DEVICE_DECEMBER, "0")} AS christmas, CAST(sale_date AS VARCHAR) AS ds, quantity AS y,
+       is_future
+FROM flagged"""
+)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -630,4 +685,6 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
         "register_sales": f"""{series} SELECT store, city, business_unit, count(*) AS n_rows
             FROM series GROUP BY ALL""",
         "console_line_frame": f"WITH {KEPT}{CONSOLE_LINE}",
+        "suite_line_merged": f"WITH {KEPT}{SUITE_LINE}",
+        "device_line_frame": f"WITH {KEPT}{DEVICE_LINE}",
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder, so later readers outlive lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the checkpoint folder and read it from there.
+
+    Later readers outlive lost executors, read only the columns they need, and know the table's size
+    when choosing joins.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
