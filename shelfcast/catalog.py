@@ -779,6 +779,13 @@ def publish_predicted(spark, sf):
     return predicted
 
 
+@query
+def publish_database(spark, sf):
+    fitted = _standin(_series(spark, sf))
+    _, predicted = product_line.database_frames(fitted, dt.date(2001, 1, 1))
+    return predicted
+
+
 # K. Grouped functions, SQL and product lines
 
 

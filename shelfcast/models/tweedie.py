@@ -18,6 +18,7 @@ from pyspark.ml.regression import (
     GeneralizedLinearRegressionModel,
 )
 from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from shelfcast.fixed_values import (
     TWEEDIE_DRAWS,
@@ -117,7 +118,7 @@ def search(
 ) -> list[tuple[float, float, int]]:
     """Cross-validated (rmse, ridge, iterations) of every draw, best first.
 
-    Every fold is written once and serves all draws. The loop is over the handful of draws and folds;
+    The folds are written once and serve all draws. The loop is over the handful of draws and folds;
     each fit and score in it is a distributed job.
     """
     tagged = materialise(time_series_folds(train, cfg.folds, keys))
@@ -125,22 +126,24 @@ def search(
     for fold in range(cfg.folds):
         rows = tagged.filter(F.col("fold") == fold)
         known = rows.filter(F.col("role") == "train")
-        wide = materialise(features(rows, known, cfg).select(*keys, "ds", "y", "role", "features"))
-        prepared.append(
-            (wide.filter(F.col("role") == "train"), wide.filter(F.col("role") == "test"))
-        )
+        wide = features(rows, known, cfg).select(*keys, "ds", "y", "role", "features")
+        # The fits pass over these rows many times; a lost block is recomputed from the folds' table.
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+        prepared.append(wide)
     scored = []
     for ridge, rounds in draws(cfg):
         tested = [
-            _fit(known, cfg, ridge, rounds)
-            .transform(held)
+            _fit(wide.filter("role = 'train'"), cfg, ridge, rounds)
+            .transform(wide.filter("role = 'test'"))
             .select("y", F.col("y_prediction").alias("yhat"))
-            for known, held in prepared
+            for wide in prepared
         ]
         both = tested[0]
         for more in tested[1:]:
             both = both.unionByName(more)
         scored.append((cv_metrics(both, []).first()["rmse"], ridge, rounds))
+    for wide in prepared:
+        wide.unpersist()
     return sorted(scored, key=lambda s: s[0])
 
 
@@ -161,8 +164,9 @@ def tweedie_forecast(
         _, ridge, rounds = search(train.drop("is_train", "is_valid", "is_predict"), cfg, keys)[0]
     else:
         ridge, rounds = params
-    wide = materialise(features(tagged, train, cfg))
+    wide = features(tagged, train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     model = _fit(wide.filter("is_train"), cfg, ridge, rounds)
+    wide.unpersist()
     predicted = model.transform(wide.filter("is_predict"))
     return predicted.select("ds", *keys, *cfg.regressors, "y", "y_prediction")
 
@@ -173,17 +177,7 @@ def validation_score(
     """RMSE on the validation months, which lie inside the training window."""
     tagged = tag_split(series, cfg.train_end, cfg.valid_from)
     train = tagged.filter("is_train")
-    wide = materialise(features(train, train, cfg))
+    wide = features(train, train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     scored = _fit(wide, cfg, *params).transform(wide.filter("is_valid"))
+    wide.unpersist()
     return cv_metrics(scored.withColumnRenamed("y_prediction", "yhat"), [])
-
-
-__all__: Iterable[str] = (
-    "TweedieConfig",
-    "draws",
-    "features",
-    "search",
-    "tag_split",
-    "tweedie_forecast",
-    "validation_score",
-)

@@ -679,6 +679,10 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             business_unit, black_week, christmas, CAST(ds AS VARCHAR) AS ds, y, {
                 _rounded_up({c: c for c in ("yhat", "yhat_upper", "yhat_lower")})
             } FROM standin WHERE ds > DATE '2001-09-30'""",
+        "publish_database": f"""{standin} SELECT store, city, super_division, product_division,
+            business_unit, black_week, christmas, CAST(ds AS VARCHAR) AS ds, y, {
+                _rounded_up({c: c for c in ("yhat", "yhat_upper", "yhat_lower")})
+            } FROM standin WHERE ds >= DATE '2001-01-01'""",
         "apply_per_series": f"""{series} SELECT store, business_unit, CAST(ds AS VARCHAR) AS ds,
             CAST(sum(y) OVER (PARTITION BY store, business_unit ORDER BY ds) AS BIGINT) AS running
             FROM series""",

@@ -12,13 +12,7 @@ from shelfcast.functions.metrics import round_up_above
 from shelfcast.models.additive import forecast
 from shelfcast.models.design import ForecastConfig
 from shelfcast.operators import clean
-from shelfcast.operators.aggregate import (
-    aggregate_sales,
-    densify,
-    monthly_promos,
-    resample_month,
-    series_frame,
-)
+from shelfcast.operators.aggregate import densify, monthly_promos
 from shelfcast.operators.joins import add_promos, map_lookup
 from shelfcast.plans.lines import LineConfig
 from shelfcast.session import materialise
@@ -61,10 +55,15 @@ def clean_sales(
             df = clean.replace_values(df, column, line.product_merges)
     df = clean.replace_regex(df, "city", line.city_patterns)
     df = clean.replace_values(df, "city", line.city_fixes)
-    df = clean.keep_eligible(df, history)
+    df = clean.keep_eligible(df, open_history(history, line))
     return clean.drop_closed(df, line.closed_stores) if "new" in line.closed_in else df
 
 
+def open_history(history: DataFrame, line: LineConfig) -> DataFrame:
+    """History without closed stores, for the lines that close them there."""
+    return clean.drop_closed(history, line.closed_stores) if "history" in line.closed_in else history
+
+
 def dense_sales(sales: DataFrame, line: LineConfig, cut: bool = True) -> DataFrame:
     """Daily sales of every observed series on every observed date, with last-known attributes."""
     carried = {
@@ -76,9 +75,7 @@ def dense_sales(sales: DataFrame, line: LineConfig, cut: bool = True) -> DataFra
 
 def merged_sales(new: DataFrame, history: DataFrame, line: LineConfig) -> DataFrame:
     """History followed by the new dense sales."""
-    if "history" in line.closed_in:
-        history = clean.drop_closed(history, line.closed_stores)
-    merged = clean.append(history, new)
+    merged = clean.append(open_history(history, line), new)
     return clean.drop_closed(merged, line.closed_stores) if "union" in line.closed_in else merged
 
 
@@ -161,6 +158,13 @@ def publish_frames(
     return historic, round_up_above(ahead)
 
 
+def database_frames(
+    forecast_frame: DataFrame, since: dt.date = fixed.PREDICTION_FROM
+) -> tuple[DataFrame, DataFrame]:
+    """Frames for the relational sink: the whole forecast, and its rounded rows from a date on."""
+    return forecast_frame, round_up_above(clean.date_slice(forecast_frame, since))
+
+
 def run_product_line(
     line: LineConfig,
     raw: DataFrame,
@@ -201,18 +205,3 @@ def register_sales(frame: DataFrame, name: str = "sales") -> DataFrame:
         f"SELECT store, city, business_unit, count(*) AS n_rows FROM {name} "
         "GROUP BY store, city, business_unit"
     )
-
-
-__all__ = [
-    "aggregate_sales",
-    "clean_sales",
-    "dense_sales",
-    "merged_sales",
-    "model_frame",
-    "monthly_series",
-    "publish_frames",
-    "register_sales",
-    "resample_month",
-    "run_product_line",
-    "series_frame",
-]

@@ -137,9 +137,8 @@ def test_suite_line_merges_products_and_drops_closed_history(spark, dimension):
     rows = [(D(2021, 8, 31), s, "Berlin", "1", division, "M365", "M365", 2, None) for s in ("Shop A", "Saturn Wesel")]
     history = spark.createDataFrame(rows, HISTORY)
     line = lines.SUITES
-    open_history = product_line.merged_sales(history.limit(0), history, line)
-    assert {r["store"] for r in open_history.collect()} == {"Shop A"}
-    cleaned = product_line.clean_sales(raw, line, open_history, dimension)
+    assert {r["store"] for r in product_line.open_history(history, line).collect()} == {"Shop A"}
+    cleaned = product_line.clean_sales(raw, line, history, dimension)
     got = [(r["store"], r["product_division"], r["business_unit"]) for r in cleaned.collect()]
     assert got == [("Shop A", "Office Standard", "Office Standard")]
     frame = product_line.model_frame(

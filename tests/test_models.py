@@ -209,6 +209,18 @@ def test_tweedie_draws_are_distinct_and_repeatable():
     assert len(set(tweedie.draws(cfg))) == 10 and tweedie.draws(cfg) == tweedie.draws(cfg)
 
 
+def test_daily_series_with_weekly_season(spark):
+    def level(i):
+        return 20.0 + 5 * (i % 7 == 5)
+
+    data = [("s", "p", D(2021, 1, 1) + dt.timedelta(days=i), level(i), 0, 0) for i in range(120)]
+    cfg = dataclasses.replace(CFG, freq="D", periods=7, weekly_order=3, train_end=D(2021, 4, 30))
+    got = additive.forecast(spark.createDataFrame(data, SCHEMA), cfg).orderBy("ds").collect()
+    assert len(got) == 127 and got[-1]["ds"] == D(2021, 5, 7)
+    for i, r in enumerate(got):
+        assert r["yhat"] == pytest.approx(level(i), abs=1.0)
+
+
 def test_grouped_function_sees_whole_series(spark, series):
     def count(key, pdf):
         return pdf.iloc[:1].assign(n=len(pdf))[["store", "n"]]
