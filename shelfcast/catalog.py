@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfcast import fixed_values as fixed
@@ -16,6 +18,9 @@ from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
 from shelfcast.sources import canonicalise, promotions_from_star, sales_from_star
 
+# The one pandas function below travels with its task; executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TRAIN_END = dt.date(2001, 9, 30)
@@ -789,7 +794,7 @@ def publish_database(spark, sf):
 # K. Grouped functions, SQL and product lines
 
 
-def _running(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _running(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     ordered = pdf.sort_values("ds")
     return ordered.assign(running=ordered["y"].cumsum())[["store", "business_unit", "ds", "running"]]
 

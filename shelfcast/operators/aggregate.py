@@ -86,6 +86,9 @@ def densify(
     per_series = per_series.withColumn("_axis", axis_frame.scalar())
     for key, names in (attributes or {}).items():
         lookup = last_attribute(cells, key, names, "_at")
+        if cut:
+            # As a table its size is known: a small one is broadcast and the series stay in place.
+            lookup = materialise(lookup)
         per_series = per_series.join(lookup, key, "left")
     missing = F.array_except("_axis", F.transform("cells", lambda cell: cell[date]))
     zeros = F.transform(
