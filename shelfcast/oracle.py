@@ -547,7 +547,7 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY store, business_unit, ds LIMIT 10)""",
         "preview_last": f"""{series} SELECT {SERIES_ROW} FROM (SELECT * FROM series
             ORDER BY store DESC, business_unit DESC, ds DESC LIMIT 10)""",
-        "best_trial": f"""{series}, scores AS (SELECT store, business_unit, month(ds) AS trial_id,
+        "best_trial": f"""{series}, scores AS (SELECT store, business_unit, CAST(month(ds) AS INT) AS trial_id,
             round(sqrt(avg(CAST((y - 20) * (y - 20) AS DOUBLE))), 3) AS rmse FROM series GROUP BY ALL)
             SELECT store, business_unit, trial_id, rmse FROM (SELECT *, row_number() OVER (
             PARTITION BY store, business_unit ORDER BY rmse, trial_id) AS rn FROM scores) WHERE rn = 1""",
@@ -555,17 +555,18 @@ def oracle_sql() -> dict[str, str]:
             AS city, store, {TOTALS} FROM kept GROUP BY 1, 2""",
         "future_frame": f"""{kept}{LAST}{FUTURE.format(only="")} SELECT store, city, postal_code,
             super_division, product_division, business_unit, CAST(f.day AS VARCHAR) AS sale_date,
-            0 AS quantity, 0.0 AS amount FROM last_city JOIN last_postal USING (store) CROSS JOIN template
+            CAST(0 AS BIGINT) AS quantity, CAST(0 AS DOUBLE) AS amount FROM last_city JOIN last_postal USING (store) CROSS JOIN template
             CROSS JOIN (SELECT CAST(unnest(range(d + 1, last_day(d + INTERVAL 1 MONTH) + INTERVAL 1 DAY,
             INTERVAL 1 DAY)) AS DATE) AS day FROM last) f""",
         "future_frame_of_template": f"""{kept}{LAST}{FUTURE.format(only="AND store = 'NATION_4'")}
             SELECT store, city, postal_code, super_division, product_division, business_unit,
-            CAST(f.day AS VARCHAR) AS sale_date, 0 AS quantity, 0.0 AS amount
+            CAST(f.day AS VARCHAR) AS sale_date, CAST(0 AS BIGINT) AS quantity, CAST(0 AS DOUBLE) AS amount
             FROM last_city JOIN last_postal USING (store) CROSS JOIN template
             CROSS JOIN (SELECT DISTINCT last_day(CAST(unnest(range(d + 1, last_day(d + INTERVAL 1 MONTH)
             + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)) AS day FROM last) f""",
         "horizon_days": f"""{sales} SELECT DISTINCT CAST(sale_date AS VARCHAR) AS sale_date,
-            date_diff('day', sale_date, last_day(sale_date + INTERVAL 1 MONTH)) AS days FROM sales""",
+            CAST(date_diff('day', sale_date, last_day(sale_date + INTERVAL 1 MONTH)) AS INT) AS days
+            FROM sales""",
         "black_week_flag": f"""{sales} SELECT DISTINCT CAST(sale_date AS VARCHAR) AS sale_date,
             CASE WHEN month(sale_date) = 11 AND day(sale_date) > 23 THEN 1 ELSE 0 END AS black_week,
             {NOVEMBER} AS november FROM sales""",
@@ -602,7 +603,7 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             ], "0")} AS promos FROM monthly) GROUP BY ALL""",
         "black_friday_window": f"""{sales}, fridays AS (SELECT year, CAST(make_date(year, 11, 1)
             + to_days(CAST((5 - isodow(make_date(year, 11, 1)) + 7) % 7 + 21 AS INT)) AS DATE) AS friday
-            FROM (SELECT DISTINCT year(sale_date) AS year FROM sales))
+            FROM (SELECT DISTINCT CAST(year(sale_date) AS INT) AS year FROM sales))
             SELECT year, 'black_friday' AS event, CAST(CAST(friday + to_days(CAST(k AS INT)) AS DATE)
             AS VARCHAR) AS ds FROM fridays CROSS JOIN (VALUES (-4), (-3), (-2), (-1), (0), (1)) t(k)
             UNION ALL SELECT year, 'cyber_monday', CAST(CAST(friday + INTERVAL 3 DAY AS DATE) AS VARCHAR)
@@ -616,14 +617,14 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             min(sale_date) AS a, max(sale_date) AS b FROM sales GROUP BY 1))
             SELECT CAST(ds AS VARCHAR) AS ds, count(*) AS n_events FROM days GROUP BY 1""",
         "german_holidays": f"""WITH {SALES}, days AS (SELECT sale_date AS ds FROM sales),
-            {EASTER.format(days="days")} SELECT year, holiday, CAST(ds AS VARCHAR) AS ds
+            {EASTER.format(days="days")} SELECT CAST(year AS INT) AS year, holiday, CAST(ds AS VARCHAR) AS ds
             FROM ({HOLIDAYS})""",
         "extend_months": f"""{series} SELECT store, business_unit, CAST(ds AS VARCHAR) AS ds, 0 AS is_future
             FROM series UNION ALL SELECT store, business_unit, CAST(last_day(max(ds)
             + to_months(CAST(k AS INT))) AS VARCHAR), 1 FROM series CROSS JOIN (VALUES (1), (2)) t(k)
             GROUP BY store, business_unit, k""",
         "calendar_features": f"""{series}, shifted AS (SELECT last_day(ds + INTERVAL 20 YEAR) AS ds
-            FROM series) SELECT CAST(ds AS VARCHAR) AS ds, year(ds) AS year, month(ds) AS month,
+            FROM series) SELECT CAST(ds AS VARCHAR) AS ds, CAST(year(ds) AS INT) AS year, CAST(month(ds) AS INT) AS month,
             CASE WHEN ds IN (DATE '2020-03-31', DATE '2020-04-30', DATE '2020-11-30', DATE '2020-12-31')
             THEN 0 ELSE 1 END AS corona_lockdown, count(*) AS n_rows FROM shifted GROUP BY ds""",
         "cutoffs": f"""{sales}, ends AS (SELECT min(sale_date) AS a, max(sale_date) AS b FROM sales),
@@ -643,7 +644,7 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
         "score": f"""{standin} SELECT store, {SCORES} FROM standin WHERE ds >= DATE '2001-01-31'
             GROUP BY store""",
         "score_one_date": f"{standin} SELECT {SCORES} FROM standin WHERE ds = DATE '2001-09-30'",
-        "cv_metrics": f"""{standin} SELECT store, business_unit, quarter(ds) AS trial_id,
+        "cv_metrics": f"""{standin} SELECT store, business_unit, CAST(quarter(ds) AS INT) AS trial_id,
             round(sqrt(avg((y - yhat) * (y - yhat))), 6) AS rmse, round(avg(abs(y - yhat)), 6) AS mae,
             count(y - yhat) AS n_scored FROM standin GROUP BY 1, 2, 3""",
         "design_matrix": f"""{series}{TREND.format(points=25)}, days AS (SELECT DISTINCT ds FROM points),
@@ -665,7 +666,7 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             FROM points p JOIN bends b ON b.store = p.store AND b.business_unit = p.business_unit
             WHERE p.ds <= DATE '2001-09-30' GROUP BY ALL),
             z AS (SELECT store, business_unit, {small_z} AS z FROM wide)
-            SELECT store, business_unit, i, j, round(sum(z[i + 1] * z[j + 1]), 4) AS total, count(*) AS n
+            SELECT store, business_unit, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round(sum(z[i + 1] * z[j + 1]), 4) AS total, count(*) AS n
             FROM z CROSS JOIN (SELECT unnest(range(0, 10)) AS i) a
             JOIN (SELECT unnest(range(0, 10)) AS j) b ON b.j >= a.i GROUP BY ALL""",
         "tag_split": f"""{series} SELECT store, CAST(ds <= DATE '2001-09-30' AS INT) AS is_train,
