@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,24 +28,38 @@ def build(app: str = "shelfcast", master: str | None = None, **conf: str) -> Spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a scratch folder only on a local master."""
+    """The shared folder that ``spark.checkpoint.dir`` names; else a folder in the session's warehouse.
+
+    The warehouse is the other place that the driver and every executor of a session share, so no
+    machine-local folder is ever taken.
+    """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="shelfcast-checkpoint-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfcast-checkpoints"
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return named
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder in the checkpoint folder; the session removes it when it ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shelfcast-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(place)
+    store.deleteOnExit(place)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the checkpoint folder and read it from there.
+    """Write ``df`` once as a table in the scratch folder and read it from there.
 
     Later readers outlive lost executors, read only the columns they need, and know the table's size
-    when choosing joins.
+    when choosing joins.  This is an action: calling it starts jobs.  The table lasts as long as the
+    application, since the frames that read it are lazy.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
