@@ -7,10 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, exact_dedup, language, packing, simhash
+from shelfcast.llm import (
+    decontaminate,
+    exact_dedup,
+    language,
+    packing,
+    pii,
+    simhash,
+    token_file,
+    toxicity,
+)
 from shelfcast.llm.common import fold, table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans", "removed")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places where documents hold benchmark items."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(
@@ -18,6 +32,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.train(docs, labels, toxicity.training_fold()))
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted", "spans")
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -28,6 +48,11 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_file.write_and_read(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -40,10 +65,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op2_decontaminate, op5_simhash_dedup, op6_pack, op9_exact_dedup, op10_language_id)
-    }
+    every = (
+        op1_pii,
+        op2_decontaminate,
+        op4_toxicity,
+        op5_simhash_dedup,
+        op6_pack,
+        op8_token_file,
+        op9_exact_dedup,
+        op10_language_id,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
