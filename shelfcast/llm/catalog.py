@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm import (
     decontaminate,
     exact_dedup,
+    html_main,
     language,
+    licenses,
     packing,
     pii,
     simhash,
@@ -32,6 +34,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places where documents hold a license notice."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = toxicity.score(docs, toxicity.train(docs, labels, toxicity.training_fold()))
@@ -48,6 +55,10 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main(table(spark, sf_dir, "pages"))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_file.write_and_read(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -68,9 +79,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
         op2_decontaminate,
+        op3_licenses,
         op4_toxicity,
         op5_simhash_dedup,
         op6_pack,
+        op7_html_main,
         op8_token_file,
         op9_exact_dedup,
         op10_language_id,
