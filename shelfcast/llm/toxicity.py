@@ -23,7 +23,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +78,7 @@ def log_odds(word: str, weights: dict[str, float]) -> float:
 class Classes:
     """The class of a word's log odds; ``limit`` bounds the words remembered."""
 
-    def __init__(self, weights: dict[str, float], limit: int = 500_000):
+    def __init__(self, weights: dict[str, float], limit: int = 200_000):
         self.weights, self.limit, self.known = weights, limit, {}
 
     def of(self, words: list[str]) -> list[int]:
@@ -101,8 +101,8 @@ def emissions(classes, begins, model):
     """Log odds of toxic against clean of every token; all texts in a row, ``begins`` of each and the end."""
     import numpy as np
 
-    before = np.concatenate([[0], classes[:-1]])
-    after = np.concatenate([classes[1:], [0]])
+    before = np.concatenate([[0], classes[:-1]]).astype(np.int8)
+    after = np.concatenate([classes[1:], [0]]).astype(np.int8)
     before[begins[:-1]] = 0
     after[begins[1:] - 1] = 0
     return model["bias"] + model["own"][classes] + model["before"][before] + model["after"][after]
@@ -201,17 +201,17 @@ def train_field(classes, labels, weights):
     }
 
 
-def flat_marginals(split: list[list[str]], classes: Classes, model: dict):
-    """Marginals of all texts in a row, and where each text begins and ends."""
+def flat_marginals(split: Iterable[list[str]], classes: Classes, model: dict):
+    """Marginals of all texts in a row, and where each text begins and the last one ends."""
     import numpy as np
 
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    found = [np.array(classes.of(words), np.int8) for words in split]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    found = np.fromiter((c for words in split for c in classes.of(words)), np.int64, ends[-1])
     some = sizes > 0
     if not some.any():
         return np.empty(0), ends
-    scores = emissions(found, np.append(ends[:-1][some], ends[-1]), model)
+    scores = emissions(np.concatenate(found), np.append(ends[:-1][some], ends[-1]), model)
     return marginals(scores, ends[:-1][some], sizes[some], model), ends
 
 
@@ -362,24 +362,25 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 
         model = shared.value
         classes = Classes(model["lexicon"])
-        for batch in batches:
-            rows = batch.column(1).to_pylist()
-            split = [words_of(text) for text in rows]
-            p, ends = flat_marginals(split, classes, model)
-            found = apply_score(features(p, ends), model["score"])
-            spans = [""] * len(rows)
-            hot = np.flatnonzero(p >= 0.5)
-            for row in np.unique(np.searchsorted(ends, hot, "right") - 1).tolist():
-                # Lower-casing may change a text's length, never the number of its words but for odd letters.
-                places = [m.span() for m in _WORD.finditer(rows[row])]
-                if len(places) != len(split[row]):
-                    places = [m.span() for m in _WORD.finditer(rows[row].lower())]
-                mine = hot[(hot >= ends[row]) & (hot < ends[row + 1])] - ends[row]
-                runs = np.split(mine, np.flatnonzero(np.diff(mine) != 1) + 1)
-                spans[row] = ",".join(f"{places[r[0]][0]}:{places[r[-1]][1]}" for r in runs)
-            columns = [batch.column(0), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
-            columns.append(pa.array(spans, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted", "spans"])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 2500):
+                batch = whole.slice(begin, 2500)
+                rows = batch.column(1).to_pylist()
+                p, ends = flat_marginals(map(words_of, rows), classes, model)
+                found = apply_score(features(p, ends), model["score"])
+                spans = [""] * len(rows)
+                hot = np.flatnonzero(p >= 0.5)
+                for row in np.unique(np.searchsorted(ends, hot, "right") - 1).tolist():
+                    # Lower-casing may change a text's length, never the number of its words but for odd letters.
+                    places = [m.span() for m in _WORD.finditer(rows[row])]
+                    if len(places) != ends[row + 1] - ends[row]:
+                        places = [m.span() for m in _WORD.finditer(rows[row].lower())]
+                    mine = hot[(hot >= ends[row]) & (hot < ends[row + 1])] - ends[row]
+                    runs = np.split(mine, np.flatnonzero(np.diff(mine) != 1) + 1)
+                    spans[row] = ",".join(f"{places[r[0]][0]}:{places[r[-1]][1]}" for r in runs)
+                columns = [batch.column(0), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
+                columns.append(pa.array(spans, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted", "spans"])
 
     return texts(docs).mapInArrow(run, schema)
 
