@@ -5,10 +5,10 @@ from __future__ import annotations
 import functools
 import json
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.session import materialise
@@ -64,6 +64,39 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: Column) -> DataFrame:
     return without(left, repeated).select(*docs.columns).unionByName(once)
 
 
+def filter_texts(docs: DataFrame, keeps: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """Rows of ``docs`` whose text ``keeps`` marks, with all their columns; nothing is shuffled.
+
+    ``keeps`` runs in the tasks, on some texts at a time (null: empty), and returns a boolean for each.
+    """
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                yield batch.filter(pa.array(keeps(pc.fill_null(batch.column(place), ""))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def smallest_hashes(rows: DataFrame, group: str, code: str, most: Column) -> DataFrame:
+    """At most ``most`` rows of each group, those with the smallest ``code``, a 64-bit hash that no two rows share.
+
+    Hashes are spread evenly, so the share of them that is sure to hold the smallest is known from the group's
+    size; only that share is ranked, and no group meets whole in one task.  ``group`` has few values.
+    """
+    total = materialise(rows.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("__n")))
+    place = F.col(code).cast("double") / 2.0**64 + 0.5
+    near = rows.join(F.broadcast(total), F.col(group) == F.col("__group"))
+    near = near.filter(place * F.col("__n") <= 2 * most + 50)
+    ranked = near.withColumn("__rank", F.row_number().over(Window.partitionBy(group).orderBy(code)))
+    return ranked.filter(F.col("__rank") <= most).drop("__group", "__n", "__rank")
+
+
 def vocabulary_path(name: str) -> str:
     """Place of a public vocabulary file."""
     import public_tokenizers
@@ -72,14 +105,17 @@ def vocabulary_path(name: str) -> str:
 
 
 class Coder:
-    """Token ids of whole texts through the tokenizers library, each distinct word encoded once.
+    """Token ids of whole texts through the tokenizers library, each distinct word of a batch encoded once.
 
-    For a tokenizer whose pre-tokens never hold white space: its ids of a text are then the ids of the text's
-    words, one after the other.  Special tokens' strings in a text are ordinary text.  ``limit`` bounds the words
-    remembered; the older half goes first.
+    For a tokenizer whose pre-tokens never hold white space, nor letters or digits beside other signs, and that
+    lower-cases: its ids of a text are then the ids of the text's words, one after the other, and those of a word with
+    signs behind it are the word's and the signs'.  Special tokens' strings in a text are ordinary text.  Words
+    that come twice in a batch are remembered; beyond ``limit`` the older ones go first.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    SIGNS = ".,;:!?|*%$#&()"
+
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -131,37 +167,65 @@ class Coder:
             out += [raw[a:b] for a, b in zip(starts.tolist(), ((ends - len(lead)) * 4).tolist(), strict=True)]
         return out
 
-    def encode(self, batch: pa.Array | Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Unsigned 32-bit ids of all texts, one after the other, and where each text's begin and the last's end."""
+    def _by_word(self, words: pa.Array) -> list[bytes]:
+        """Ids of each of the distinct ``words``."""
         import numpy as np
-        import pyarrow as pa
         import pyarrow.compute as pc
 
-        if not isinstance(batch, pa.Array):
-            batch = pa.array(batch, pa.large_string())
-        split = pc.ascii_split_whitespace(pc.fill_null(batch.cast(pa.large_string()), ""))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        found = list(map(self.known.get, words))
+        stem = pc.ascii_rtrim(words, characters=self.SIGNS)
+        # A capital I with a dot becomes two code points, the second one a sign.
+        ends = pc.and_not(pc.match_substring_regex(stem, r"[\p{L}\p{N}]$"), pc.ends_with(stem, "İ"))
+        stem = pc.ascii_lower(pc.if_else(ends, stem, words))
+        coded = stem.dictionary_encode()
+        stems, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = list(map(self.known.get, stems))
         if gaps := [i for i, ids in enumerate(found) if ids is None]:
             new = []
             for i in gaps:
-                ids = found[i] = self.older.get(words[i])
-                new += [i] * (ids is None)
-            for i, ids in zip(new, self.ids([words[i] for i in new]), strict=True):
+                found[i] = self.older.get(stems[i])
+                new += [i] * (found[i] is None)
+            for i, ids in zip(new, self.ids([stems[i] for i in new]), strict=True):
                 found[i] = ids
-            self.known.update((words[i], found[i]) for i in gaps)
+            times = np.bincount(which, minlength=len(stems))
+            self.known.update((stems[i], found[i]) for i in gaps if times[i] > 1)
             if len(self.known) > self.limit:
                 self.older, self.known = self.known, {}
+        out = [found[i] for i in which.tolist()]
+        over = (pc.binary_length(words).to_numpy() - pc.binary_length(stem).to_numpy()).astype(np.int64)
+        for size in np.unique(over[over > 0]).tolist():
+            rows = np.flatnonzero(over == size)
+            tails = pc.utf8_slice_codeunits(words.take(rows), -size).dictionary_encode()
+            ids = self.ids(tails.dictionary.to_pylist())
+            for row, tail in zip(rows.tolist(), tails.indices.to_pylist(), strict=True):
+                out[row] += ids[tail]
+        return out
+
+    def encode(self, batch: pa.Array | Iterable[str | None], rows: int = 500) -> Iterator[tuple]:
+        """``(first text, ids, ends)`` of every ``rows`` texts: the unsigned 32-bit ids of all of them, one after the
+        other, and where each text's begin and the last's end.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not isinstance(batch, pa.Array):
+            batch = pa.array(batch, pa.large_string())
+        split = pc.ascii_split_whitespace(pc.fill_null(batch.cast(pa.large_string()), ""))
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        coded = split.flatten().dictionary_encode()
+        del split
+        found = self._by_word(coded.dictionary)
         ids = np.frombuffer(b"".join(found), "<u4")
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         first = np.cumsum(size) - size
-        which = coded.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(size[which])])
-        at = np.repeat(first[which] - ends[:-1], size[which])
-        at += np.arange(len(at))
-        rows = split.value_lengths().to_numpy(zero_copy_only=False)
-        return ids[at], ends[np.concatenate([[0], np.cumsum(rows)])]
+        place = np.concatenate([[0], np.cumsum(counts)])
+        for begin in range(0, len(batch), rows):
+            last = min(begin + rows, len(batch))
+            which = coded.indices.slice(place[begin], place[last] - place[begin]).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(size[which])])
+            at = np.repeat(first[which] - ends[:-1], size[which])
+            at += np.arange(len(at))
+            yield begin, ids[at], ends[place[begin : last + 1] - place[begin]]
 
 
 @functools.lru_cache(maxsize=2)

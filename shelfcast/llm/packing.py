@@ -126,9 +126,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, e
         seen = np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for whole in batches:
-            for begin in range(0, whole.num_rows, 2000):
-                batch = whole.slice(begin, 2000)
-                ids, ends = coder(path).encode(batch.column(1))
+            for begin, ids, ends in coder(path).encode(whole.column(1)):
+                batch = whole.slice(begin, len(ends) - 1)
                 tail = np.array([end_id], "<u4").tobytes()
                 rows, starts, lengths, crcs, payloads = [], [], [], [], []
                 for row in range(batch.num_rows):

@@ -202,13 +202,10 @@ class TokenFolder:
             store.create_dir(place, recursive=True)
             written, last, occurrence, out = 0, None, 0, None
             for whole in batches:
-                for begin in range(0, whole.num_rows, 1000):
-                    batch = whole.slice(begin, 1000)
-                    if not batch.num_rows:
-                        continue
+                for begin, ids, ends in codes.encode(whole.column(1)):
+                    batch = whole.slice(begin, len(ends) - 1)
                     if out is None:
                         out = store.open_output_stream(f"{place}/shard-{shard:05d}.{attempt}.part")
-                    ids, ends = codes.encode(batch.column(1))
                     ids = np.insert(ids, ends[1:], end_id)
                     out.write(ids.astype(f"<u{width}").tobytes())
                     sizes = np.diff(ends) + 1
