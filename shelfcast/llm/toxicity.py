@@ -9,7 +9,7 @@ a logistic model, and runs of tokens with marginals from one half up are the off
 
 The log odds that a training text is read with come from the other half of the sample, so chance finds in one half
 cost weight in the other.  The sample is bounded: at most ``per_class`` texts of each label, one of each group of
-texts that share their smallest three-word hash, so near copies count once.  Labels, language, source and id are
+texts that share their smallest five-word hash, so near copies count once.  Labels, language, source and id are
 never inputs of a score.
 
 Defined cases: a null text is the empty text; a text without words gets the score of no marginals; without texts of
@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import fold, texts
+from shelfcast.llm.common import fold, smallest_hashes, texts
 from shelfcast.session import materialise
 
 PER_CLASS = {1: 2000, 0: 4000}
@@ -36,6 +36,7 @@ EDGES = (0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0)  # of the classes of log odds
 TOXIC_FROM = 1.5  # log odds of a token labelled toxic
 PREFIXES = range(3, 9)
 LEAST_TEXTS = 3  # that hold a word or beginning of the lexicon
+GRAM = 5  # words of the runs that tell near copies
 SEGMENT = 48  # tokens of a training segment
 STEPS = 250
 
@@ -146,51 +147,50 @@ def train_field(classes, labels, weights):
     """Fits the field to segments, a row each: classes and labels of their tokens, and the segment's weight."""
     import numpy as np
 
-    rows, length = classes.shape
+    classes, labels = np.ascontiguousarray(classes.T), np.ascontiguousarray(labels.T)  # a column each from here on
+    length, rows = classes.shape
     kinds = len(EDGES) + 1
-    before = np.pad(classes, ((0, 0), (1, 0)))[:, :-1]
-    after = np.pad(classes, ((0, 0), (0, 1)))[:, 1:]
-    # Parameters: bias, own, before and after classes, four transitions, start.
+    sides = [classes, np.pad(classes, ((1, 0), (0, 0)))[:-1], np.pad(classes, ((0, 1), (0, 0)))[1:]]
+    # Parameters: bias, own, before and after classes, four transitions, start.  A class's weight is the sum of its
+    # step and those below, so a class that the sample lacks weighs what the one below it weighs.
     size = 1 + 3 * kinds + 5
     theta, mean, square = np.zeros(size), np.zeros(size), np.zeros(size)
     theta[0] = -4.0
-    theta[1 : 1 + kinds] = np.linspace(0, 6, kinds)
-    onehot = [np.eye(kinds)[x] for x in (classes, before, after)]
-    pairs = np.stack(
+    theta[2 : 1 + kinds] = 1.0
+    pairs = np.array(
         [
-            ((labels[:, :-1] == a) & (labels[:, 1:] == b)).sum(axis=1)
+            (((labels[:-1] == a) & (labels[1:] == b)) * weights).sum()
             for a, b in ((0, 0), (0, 1), (1, 0), (1, 1))
-        ],
-        axis=1,
+        ]
     )
     total = weights.sum() * length
     for step in range(1, STEPS + 1):
-        bias, own, prev, nxt = theta[0], *theta[1 : 1 + 3 * kinds].reshape(3, kinds)
-        scores = bias + own[classes] + prev[before] + nxt[after]
+        tables = np.cumsum(theta[1 : 1 + 3 * kinds].reshape(3, kinds), axis=1)
+        scores = theta[0] + sum(table[side] for table, side in zip(tables, sides, strict=True))
         odds = np.exp(np.clip(scores, -30, 30))
         stay0, to1, to0, stay1 = np.exp(theta[1 + 3 * kinds : 5 + 3 * kinds])
-        forward, backward = np.empty((rows, length)), np.ones((rows, length))
-        forward[:, 0] = odds[:, 0] * math.exp(theta[-1])
+        forward, backward = np.empty((length, rows)), np.ones((length, rows))
+        forward[0] = odds[0] * math.exp(theta[-1])
         for t in range(1, length):
-            f = forward[:, t - 1]
-            forward[:, t] = odds[:, t] * (to1 + stay1 * f) / (stay0 + to0 * f)
+            f = forward[t - 1]
+            forward[t] = odds[t] * (to1 + stay1 * f) / (stay0 + to0 * f)
         for t in range(length - 2, -1, -1):
-            reach = odds[:, t + 1] * backward[:, t + 1]
-            backward[:, t] = (to0 + stay1 * reach) / (stay0 + to1 * reach)
+            reach = odds[t + 1] * backward[t + 1]
+            backward[t] = (to0 + stay1 * reach) / (stay0 + to1 * reach)
         both = forward * backward
-        p = both / (1 + both)
-        off = (labels - p) * weights[:, None]
-        gradient = [off.sum()[None]] + [np.einsum("rt,rtk->k", off, x) for x in onehot]
-        f, reach = forward[:, :-1], odds[:, 1:] * backward[:, 1:]
-        joint = np.stack([stay0 * np.ones_like(f), to1 * reach, to0 * f, stay1 * f * reach])
-        joint /= joint.sum(axis=0)
-        gradient.append(((pairs - joint.sum(axis=2).T) * weights[:, None]).sum(axis=0))
-        gradient.append(off[:, 0].sum()[None])
+        off = (labels - both / (1 + both)) * weights
+        gradient = [off.sum()[None]]
+        gradient += [np.cumsum(np.bincount(side.ravel(), off.ravel(), kinds)[::-1])[::-1] for side in sides]
+        f, reach = forward[:-1], odds[1:] * backward[1:]
+        joint = [stay0, to1 * reach, to0 * f, stay1 * f * reach]
+        whole = sum(joint)
+        gradient.append(pairs - np.array([(part / whole * weights).sum() for part in joint]))
+        gradient.append(off[0].sum()[None])
         slope = np.concatenate(gradient) / total - 1e-5 * theta
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         theta = theta + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
-    bias, own, prev, nxt = theta[0], *theta[1 : 1 + 3 * kinds].reshape(3, kinds)
+    bias, own, prev, nxt = theta[0], *np.cumsum(theta[1 : 1 + 3 * kinds].reshape(3, kinds), axis=1)
     return {
         "bias": bias,
         "own": own,
@@ -254,8 +254,6 @@ def apply_score(x, theta):
 
 def sample(docs: DataFrame, labels: DataFrame, training: Column, per_class: dict[int, int]) -> DataFrame:
     """``toxic`` and ``text`` of the training texts, and ``share``: labelled rows for each text of its label."""
-    from pyspark.sql import Window
-
     marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     rows = texts(docs.filter(training)).join(marks, F.col("doc_id") == F.col("__id"))
@@ -271,22 +269,22 @@ def sample(docs: DataFrame, labels: DataFrame, training: Column, per_class: dict
             for row, text in enumerate(batch.column(1).to_pylist()):
                 words = text.encode("utf-8", "replace").lower().split()
                 codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-                grams = codes.copy() if len(codes) < 3 else codes[:-2] + codes[1:-1] * np.uint64(0x9E3779B1) + codes[2:] * np.uint64(0x85EBCA6B85EBCA6B)
-                grams = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+                size = min(GRAM, len(codes))
+                grams = np.zeros(len(codes) - size + 1 if size else 0, np.uint64)
+                for i in range(size):
+                    grams = (grams + codes[i : i + len(grams)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                grams = (grams ^ (grams >> np.uint64(29))) >> np.uint64(1)
                 sketches[row] = int(grams.min()) if len(grams) else 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(sketches)], ["doc_id", "toxic", "sketch"]
             )
 
     sketched = rows.mapInArrow(run, f"doc_id {kind}, toxic int, sketch bigint")
-    one = materialise(
-        sketched.groupBy("toxic", "sketch").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    )
+    one = sketched.groupBy("toxic", "sketch").agg(F.min("doc_id").alias("first_id"))
+    one = materialise(one.withColumn("code", F.xxhash64("sketch")))
     totals = one.groupBy("toxic").agg(F.count(F.lit(1)).alias("texts"))
-    order = Window.partitionBy("toxic").orderBy("sketch", "first_id")
     most = F.create_map(*(F.lit(x) for pair in per_class.items() for x in pair))[F.col("toxic")]
-    taken = one.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= max(per_class.values()))
-    taken = taken.filter(F.col("r") <= most)
+    taken = smallest_hashes(one, "toxic", "code", most)
     taken = materialise(taken.join(F.broadcast(totals), "toxic").select("first_id", "texts"))
     chosen = rows.join(F.broadcast(taken), F.col("doc_id") == F.col("first_id"))
     return chosen.groupBy("doc_id").agg(
