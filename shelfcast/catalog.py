@@ -28,7 +28,6 @@ RUN_DATE = dt.date(2001, 10, 1)
 CUTOFFS = [dt.date(2000, 9, 1), dt.date(2000, 12, 1), dt.date(2001, 3, 1), dt.date(2001, 6, 1)]
 SERIES_KEYS = ["store", "business_unit"]
 YEARS_BACK = 20
-STORES = [f"NATION_{i}" for i in range(25)]
 
 _QUERIES: dict[str, Query] = {}
 
@@ -62,6 +61,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _stores(spark: SparkSession, sf: str) -> list[str]:
+    """Names of the stores, a row each in their dimension."""
+    return sorted(r["n_name"] for r in _table(spark, sf, "nation").select("n_name").distinct().collect())
+
+
 def _kept(spark: SparkSession, sf: str) -> DataFrame:
     return clean.drop_returns(sales_from_star(spark, sf))
 
@@ -337,14 +341,15 @@ def densify_daily_attributes(spark, sf):
 @query
 def pivot_series(spark, sf):
     monthly = aggregate.resample_month(_kept(spark, sf), ["store"])
-    return aggregate.pivot_series(monthly, "store", STORES)
+    return aggregate.pivot_series(monthly, "store", _stores(spark, sf))
 
 
 @query
 def unpivot_series(spark, sf):
     monthly = aggregate.resample_month(_kept(spark, sf), ["store"])
-    wide = aggregate.pivot_series(monthly, "store", STORES)
-    return aggregate.unpivot_series(wide, {s: {"store": s} for s in STORES})
+    stores = _stores(spark, sf)
+    wide = aggregate.pivot_series(monthly, "store", stores)
+    return aggregate.unpivot_series(wide, {s: {"store": s} for s in stores})
 
 
 @query
@@ -428,7 +433,7 @@ def max_date(spark, sf):
 def profile(spark, sf):
     sales = sales_from_star(spark, sf)
     return aggregate.profile(
-        sales.withColumn("quantity", F.when(F.col("quantity") >= 0, F.col("quantity")))
+        sales.withColumn("quantity", F.when(F.col("quantity") >= 0, F.col("quantity"))), exact=True
     )
 
 
@@ -732,6 +737,13 @@ def forecast(spark, sf):
     return additive.forecast(_series(spark, sf), _config(), run_date=RUN_DATE, unique=True)
 
 
+@query
+def forecast_optimum(spark, sf):
+    """Every fit has settled, and its objective is flat there."""
+    found = additive.optimum(_series(spark, sf), _config(), unique=True)
+    return found.select(*SERIES_KEYS, F.col("settled").cast("int").alias("settled"), F.round("slope", 4).alias("slope"))
+
+
 @query
 def grid_search(spark, sf):
     return search.search(
@@ -742,7 +754,7 @@ def grid_search(spark, sf):
 @query
 def grid_search_forecast(spark, sf):
     _, fitted = search.grid_search(
-        _series(spark, sf), _config(), CUTOFFS[-2:], 60, run_date=RUN_DATE, unique=True
+        _series(spark, sf), _config(), CUTOFFS, 60, run_date=RUN_DATE, unique=True
     )
     return fitted
 
@@ -750,15 +762,21 @@ def grid_search_forecast(spark, sf):
 @query
 def random_search(spark, sf):
     trials = search.random_trials(fixed.TRIALS_SHORT, seed=7)
-    return search.search(_series(spark, sf), _config(), trials, CUTOFFS[-2:], 30, unique=True)
+    return search.search(_series(spark, sf), _config(), trials, CUTOFFS, 30, unique=True)
 
 
 @query
 def tweedie_forecast(spark, sf):
-    cfg = tweedie.TweedieConfig(
-        train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31), folds=2, draws=2
-    )
-    return tweedie.tweedie_forecast(_series(spark, sf), cfg)
+    cfg = tweedie.TweedieConfig(train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31))
+    return tweedie.tweedie_forecast(_series(spark, sf), cfg, run_date=RUN_DATE)
+
+
+@query
+def tweedie_optimum(spark, sf):
+    """The scores of the penalised likelihood are zero at the fit; no feature repeats another."""
+    cfg = tweedie.TweedieConfig(train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31))
+    found = tweedie.optimum(_series(spark, sf), cfg, tweedie.RIDGE[0])
+    return found.select("parameter", F.round("score", 4).alias("score"))
 
 
 @query

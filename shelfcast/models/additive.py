@@ -24,6 +24,46 @@ from shelfcast.models.design import (
 from shelfcast.operators.clean import stamp_run
 from shelfcast.schema import ATTRIBUTES, SERIES
 
+
+def _with_priors(
+    series: DataFrame,
+    cfg: ForecastConfig,
+    keys: Sequence[str],
+    best: DataFrame | None,
+    unique: bool,
+) -> DataFrame:
+    """Rows of the final fit, each with its series' priors."""
+    rows = with_future(series_rows(series, cfg, keys, unique), cfg)
+    cp, season = F.lit(cfg.changepoint_prior), F.lit(cfg.seasonality_prior)
+    if best is not None:
+        chosen = best.select(*keys, "changepoint_prior", "seasonality_prior")
+        rows = rows.join(chosen, list(keys), "left")
+        cp = F.coalesce("changepoint_prior", cp)
+        season = F.coalesce("seasonality_prior", season)
+    return rows.withColumns({"_cp_prior": cp, "_season_prior": season}).drop(
+        "changepoint_prior", "seasonality_prior"
+    )
+
+
+def optimum(
+    series: DataFrame,
+    cfg: ForecastConfig,
+    keys: Sequence[str] = SERIES,
+    best: DataFrame | None = None,
+    unique: bool = False,
+) -> DataFrame:
+    """``settled`` and ``slope`` of the fit behind ``forecast``, for every series that is fitted.
+
+    ``slope`` is the largest entry of the objective's relative gradient at the solution.
+    """
+    design = design_matrix(_with_priors(series, cfg, keys, best, unique), cfg).select(
+        *keys, "y", "is_train", "x", "y_scale", "n_cp", "n_season", "_cp_prior", "_season_prior", "pos"
+    )
+    schema = T.StructType([design.schema[c] for c in keys])
+    schema = schema.add("settled", "boolean").add("slope", "double")
+    return design.mapInArrow(solve.optimum_batches(cfg.holidays_prior, list(keys)), schema)
+
+
 def forecast(
     series: DataFrame,
     cfg: ForecastConfig,
@@ -38,16 +78,7 @@ def forecast(
     per series. A series with fewer than two training points gets their mean and a null interval.
     Forecasts below zero become zero.
     """
-    rows = with_future(series_rows(series, cfg, keys, unique), cfg)
-    cp, season = F.lit(cfg.changepoint_prior), F.lit(cfg.seasonality_prior)
-    if best is not None:
-        chosen = best.select(*keys, "changepoint_prior", "seasonality_prior")
-        rows = rows.join(chosen, list(keys), "left")
-        cp = F.coalesce("changepoint_prior", cp)
-        season = F.coalesce("seasonality_prior", season)
-    rows = rows.withColumns({"_cp_prior": cp, "_season_prior": season}).drop(
-        "changepoint_prior", "seasonality_prior"
-    )
+    rows = _with_priors(series, cfg, keys, best, unique)
     carried = [a for a in ATTRIBUTES if a in rows.columns and a not in keys]
     design = design_matrix(rows, cfg).select(
         *keys, *carried, "ds", "y", "is_train", *cfg.regressors, "t", "x", "y_scale",

@@ -89,12 +89,13 @@ def series_rows(
 def with_future(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Split ``obs`` into ``train`` and the points to predict: the training dates and the next periods.
 
+    A placeholder of the future is no observation, wherever its date lies.
     A future point takes its regressors from the observation of that date, or 0 without one; its
     actual stays null unless it was really observed. A series without training data predicts from
     the training end on.
     """
     end = F.lit(cfg.train_end)
-    train = F.filter("obs", lambda o: o["ds"] <= end)
+    train = F.filter("obs", lambda o: (o["ds"] <= end) & ~o["is_future"])
     last = F.coalesce(F.array_max(F.transform("train", lambda o: o["ds"])), end)
 
     def point(day: Column) -> Column:

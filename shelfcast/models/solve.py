@@ -17,46 +17,111 @@ from pyspark import cloudpickle
 # Ship these few functions with the task, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROUNDS = 8
+TOLERANCE = 1e-8  # of the fitted values, in units of the series' scale
+MOST_ROUNDS = 2000  # a fit that takes more is reported as not settled
+LEAD_IN = 4  # reweighted rounds before the first Newton step
 TREND_PRIOR = 5.0
 NOISE_PRIOR = 0.5
 NOISE_FLOOR = 1e-4
 BEND_FLOOR = 1e-3
 
 
-def fit_map(
+class Fit(NamedTuple):
+    """For each trial: coefficients, noise, whether it settled, and the largest slope left.
+
+    The slope is that of the penalised objective in the coefficients, over the sum of the sizes of the
+    parts that cancel in it: zero at the optimum, one where nothing cancels.
+    """
+
+    beta: np.ndarray
+    noise: np.ndarray
+    settled: np.ndarray
+    slope: np.ndarray
+
+
+def _objective(lost, size, beta, variance, fixed, bends, strength) -> np.ndarray:
+    """Negative log posterior; the Laplace prior is rounded off within ``BEND_FLOOR`` of zero."""
+    bent = np.abs(beta[:, bends])
+    rounded = np.where(bent > BEND_FLOOR, bent - BEND_FLOOR / 2, bent**2 / (2 * BEND_FLOOR))
+    smooth = (fixed * beta**2).sum(axis=1) / 2 + (strength * rounded).sum(axis=1)
+    return lost / (2 * variance) + smooth + size * np.log(variance) / 2
+
+
+def fit_settled(
     x: np.ndarray, y: np.ndarray, n_cp: int, n_season: int, priors: np.ndarray, holidays_prior: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients and noise for each row (changepoint prior, seasonality prior) of ``priors``.
+) -> Fit:
+    """The most probable coefficients and noise for each row (changepoint, seasonality prior) of ``priors``.
 
-    Normal priors on everything but the changepoints, whose Laplace prior is reached by reweighting;
-    coefficients and noise are improved in turn. All trials share one Gram matrix.
+    Normal priors on everything but the changepoints, which have a Laplace prior. A round improves the
+    coefficients, by the better of a Newton step and a reweighted step (which never makes them worse),
+    and then the noise. A trial is done when its fitted values stop moving; all trials share one Gram matrix.
     """
-    trials, width = len(priors), x.shape[1]
-    weight = np.empty((trials, width))
-    weight[:, :2] = TREND_PRIOR**-2
-    weight[:, 2 : 2 + n_cp] = 1.0 / priors[:, :1] ** 2
-    weight[:, 2 + n_cp : 2 + n_cp + n_season] = 1.0 / priors[:, 1:] ** 2
-    weight[:, 2 + n_cp + n_season :] = holidays_prior**-2
+    trials, whole = len(priors), x.shape[1]
     # An event or flag that never occurs in training has a zero coefficient; leave it out of the solve.
     used = np.flatnonzero(x.any(axis=0))
-    bends = used[(used >= 2) & (used < 2 + n_cp)]
-    gram, moment = x[:, used].T @ x[:, used], x[:, used].T @ y
-    diagonal = np.arange(len(used))
-    noise = np.full(trials, max(float(np.var(y)), NOISE_FLOOR**2))
-    beta = np.zeros((trials, width))
-    for _ in range(ROUNDS):
-        system = np.repeat(gram[None], trials, axis=0)
-        system[:, diagonal, diagonal] += weight[:, used] * noise[:, None]
-        right = np.repeat(moment[None, :, None], trials, axis=0)
-        beta[:, used] = np.linalg.solve(system, right)[:, :, 0]
-        bend = np.maximum(np.abs(beta[:, bends]), BEND_FLOOR)
-        weight[:, bends] = 1.0 / (priors[:, :1] * bend)
-        lost = ((y[None] - beta @ x.T) ** 2).sum(axis=1)
-        curve = NOISE_PRIOR**-2
-        noise = (np.sqrt(len(y) ** 2 + 4 * curve * lost) - len(y)) / (2 * curve)
-        noise = np.maximum(noise, NOISE_FLOOR**2)
-    return beta, np.sqrt(noise)
+    x = x[:, used]
+    bends = np.flatnonzero((used >= 2) & (used < 2 + n_cp))
+    fixed = np.full((trials, whole), holidays_prior**-2)
+    fixed[:, :2] = TREND_PRIOR**-2
+    fixed[:, 2 : 2 + n_cp] = 0.0
+    fixed[:, 2 + n_cp : 2 + n_cp + n_season] = 1.0 / priors[:, 1:] ** 2
+    fixed, strength = fixed[:, used], 1.0 / priors[:, :1]
+    gram, moment, diagonal = x.T @ x, x.T @ y, np.arange(len(used))
+    curve = NOISE_PRIOR**-2
+
+    def lost(beta):
+        return ((y[None] - beta @ x.T) ** 2).sum(axis=1)
+
+    def solved(weight, linear, variance):
+        system = np.repeat(gram[None], len(weight), axis=0)
+        system[:, diagonal, diagonal] += (weight + 1e-10) * variance[:, None]
+        return np.linalg.solve(system, (moment - linear * variance[:, None])[:, :, None])[:, :, 0]
+
+    variance = np.full(trials, max(float(np.var(y)), NOISE_FLOOR**2))
+    beta, fitted = np.zeros((trials, len(used))), np.zeros((trials, len(y)))
+    active = np.arange(trials)
+    for rounds in range(MOST_ROUNDS):
+        now, noise, held, force = beta[active], variance[active], fixed[active], strength[active]
+        bent = np.abs(now[:, bends])
+        weight, straight = held.copy(), np.zeros(held.shape)
+        weight[:, bends] = force / np.maximum(bent, BEND_FLOOR) if rounds else force**2
+        new = solved(weight, straight, noise)
+        if rounds >= LEAD_IN and len(bends):
+            inside = bent <= BEND_FLOOR
+            weight[:, bends] = np.where(inside, force / BEND_FLOOR, 0.0)
+            straight[:, bends] = np.where(inside, 0.0, force * np.sign(now[:, bends]))
+            step = solved(weight, straight, noise) - now
+            parts = (held, bends, force)
+            best = _objective(lost(new), len(y), new, noise, *parts)
+            for length in (1.0, 0.25, 0.0625):
+                tried = now + length * step
+                value = _objective(lost(tried), len(y), tried, noise, *parts)
+                new = np.where((value < best)[:, None], tried, new)
+                best = np.minimum(value, best)
+        beta[active] = new
+        noise = (np.sqrt(len(y) ** 2 + 4 * curve * lost(new)) - len(y)) / (2 * curve)
+        variance[active] = np.maximum(noise, NOISE_FLOOR**2)
+        moved = np.abs(new @ x.T - fitted[active]).max(axis=1)
+        fitted[active] = new @ x.T
+        active = active[moved > TOLERANCE]
+        if not len(active):
+            break
+    pull = fixed * beta
+    pull[:, bends] += strength * np.clip(beta[:, bends] / BEND_FLOOR, -1.0, 1.0)
+    push = (y[None] - beta @ x.T) @ x / variance[:, None]
+    size = np.abs(y[None] - beta @ x.T) @ np.abs(x) / variance[:, None] + np.abs(pull)
+    slope = np.abs(pull - push) / np.maximum(size, 1e-9)
+    every = np.zeros((trials, whole))
+    every[:, used] = beta
+    settled = ~np.isin(np.arange(trials), active)
+    return Fit(every, np.sqrt(variance), settled, slope.max(axis=1, initial=0.0))
+
+
+def fit_map(
+    x: np.ndarray, y: np.ndarray, n_cp: int, n_season: int, priors: np.ndarray, holidays_prior: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients and noise of ``fit_settled``."""
+    return fit_settled(x, y, n_cp, n_season, priors, holidays_prior)[:2]
 
 
 class Series(NamedTuple):
@@ -137,6 +202,35 @@ def forecast_batches(
     return run
 
 
+def optimum_batches(
+    holidays_prior: float, kept: Sequence[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row for every series that is fitted: whether its fit settled, and the slope left there."""
+    heads = ("n_cp", "n_season", "y_scale", "_cp_prior", "_season_prior")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_tables(batches):
+            rows, settled, slope = [], [], []
+            for s in series_of(table, heads):
+                known = s.y[s.train]
+                if len(known) < 2:
+                    continue
+                priors = np.array([[s.head["_cp_prior"], s.head["_season_prior"]]])
+                sizes = int(s.head["n_cp"]), int(s.head["n_season"])
+                fit = fit_settled(
+                    s.x[s.train], known / s.head["y_scale"], *sizes, priors, holidays_prior
+                )
+                rows.append(s.start)
+                settled.append(bool(fit.settled[0]))
+                slope.append(float(fit.slope[0]))
+            if rows:
+                found = table.select(list(kept)).take(rows)
+                found = found.append_column("settled", pa.array(settled))
+                yield from found.append_column("slope", pa.array(slope)).to_batches()
+
+    return run
+
+
 def test_batches(
     trials: Sequence[tuple[int, float, float]], holidays_prior: float, kept: Sequence[str]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

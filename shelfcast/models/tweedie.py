@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-import itertools
+import math
 import random
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     GeneralizedLinearRegression,
@@ -31,12 +32,14 @@ from shelfcast.fixed_values import (
 )
 from shelfcast.functions.calendar import calendar_features
 from shelfcast.functions.metrics import cv_metrics
+from shelfcast.operators.clean import stamp_run
 from shelfcast.operators.folds import time_series_folds
 from shelfcast.session import materialise
 
-# What the random search draws from: ridge strength and iterations of the fit.
-RIDGE = (0.0, 0.0001, 0.001, 0.01, 0.1, 1.0)
-ITERATIONS = (10, 25)
+# What the random search draws from: the strength of the ridge. None is zero, so every fit has one answer.
+RIDGE = tuple(10.0 ** (e / 2) for e in range(-10, 1))
+MOST_ITERATIONS = 100  # a fit that takes more is an error
+SAME = 1e-9  # share of a feature's variance that others must leave unexplained for it to be kept
 
 
 @dataclasses.dataclass(frozen=True)
@@ -68,116 +71,165 @@ def tag_split(
     )
 
 
-def draws(cfg: TweedieConfig) -> list[tuple[float, int]]:
+def draws(cfg: TweedieConfig) -> list[float]:
     """Distinct draws from the search space, the same for every run with the same seed."""
-    space = list(itertools.product(RIDGE, ITERATIONS))
-    return random.Random(cfg.seed).sample(space, min(cfg.draws, len(space)))
+    return random.Random(cfg.seed).sample(RIDGE, min(cfg.draws, len(RIDGE)))
 
 
-def features(df: DataFrame, train: DataFrame, cfg: TweedieConfig) -> DataFrame:
-    """Assemble the feature vector; store and product means come from ``train`` alone."""
+def features(
+    df: DataFrame,
+    train: DataFrame,
+    cfg: TweedieConfig,
+    keys: Sequence[str] = ("store", "business_unit"),
+) -> tuple[DataFrame, list[str]]:
+    """``df`` with the feature columns, and their names; the means of the keys come from ``train`` alone."""
     with_dates = calendar_features(df, cfg.lockdowns)
     whole = train.agg(F.log(F.avg("y") + 1).alias("m")).scalar()
-    for key in ("store", "business_unit"):
+    for key in keys:
         means = train.groupBy(key).agg(F.log(F.avg("y") + 1).alias(f"{key}_level"))
         with_dates = with_dates.join(means, key, "left")
     filled = with_dates.withColumn("_level", whole)
-    columns = {
-        f"{key}_level": F.coalesce(f"{key}_level", "_level", F.lit(0.0))
-        for key in ("store", "business_unit")
-    }
+    columns = {f"{key}_level": F.coalesce(f"{key}_level", "_level", F.lit(0.0)) for key in keys}
+    columns |= {r: F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in cfg.regressors}
     columns |= {f"month_{m}": (F.col("month") == m).cast("double") for m in range(2, 13)}
     # Centred, so that the intercept and the trend are not two copies of one column.
     columns["year_centred"] = (F.col("year") - cfg.train_end.year).cast("double")
-    columns |= {r: F.col(r).cast("double") for r in cfg.regressors}
     columns["corona_lockdown"] = F.col("corona_lockdown").cast("double")
-    columns["y"] = F.col("y").cast("double")
-    names = [c for c in columns if c != "y"]
-    assembled = filled.withColumns(columns)
-    return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(
-        assembled
-    )
+    names = list(columns)
+    return filled.withColumns(columns | {"y": F.col("y").cast("double")}), names
 
 
-def _fit(
-    train: DataFrame, cfg: TweedieConfig, ridge: float, rounds: int
-) -> GeneralizedLinearRegressionModel:
-    return GeneralizedLinearRegression(
+def independent(train: DataFrame, names: Sequence[str]) -> list[str]:
+    """The names, in order, of the features that are not constant and not a combination of those before.
+
+    One aggregation gives the sums of products, as many as pairs of features however many rows there are.
+    """
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+    sums = [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"p{i}_{j}") for i, j in pairs]
+    means = [F.avg(n).alias(f"m{i}") for i, n in enumerate(names)]
+    row = train.agg(F.count("*").alias("n"), *means, *sums).first()
+    if not row["n"]:
+        return []
+    center = np.array([row[f"m{i}"] for i in range(len(names))])
+    spread = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        spread[i, j] = spread[j, i] = row[f"p{i}_{j}"] - row["n"] * center[i] * center[j]
+    kept: list[int] = []
+    for i in range(len(names)):
+        own = spread[i, i]
+        left = own
+        if kept:
+            left -= spread[i, kept] @ np.linalg.solve(spread[np.ix_(kept, kept)], spread[kept, i])
+        if own > SAME * row["n"] and left > SAME * own:
+            kept.append(i)
+    return [names[i] for i in kept]
+
+
+def assembled(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(wide)
+
+
+def _fit(train: DataFrame, cfg: TweedieConfig, ridge: float) -> GeneralizedLinearRegressionModel:
+    model = GeneralizedLinearRegression(
         family="tweedie",
         variancePower=cfg.power,
         linkPower=0.0,
         regParam=ridge,
-        maxIter=rounds,
+        maxIter=MOST_ITERATIONS,
+        tol=1e-10,
         labelCol="y",
         predictionCol="y_prediction",
     ).fit(train.select("features", "y"))
+    if model.summary.numIterations >= MOST_ITERATIONS:
+        raise ArithmeticError(f"the fit with ridge {ridge} has not settled")
+    return model
 
 
 def search(
     train: DataFrame, cfg: TweedieConfig, keys: Sequence[str] = ("store", "business_unit")
-) -> list[tuple[float, float, int]]:
-    """Cross-validated (rmse, ridge, iterations) of every draw, best first.
+) -> list[tuple[float, float]]:
+    """Cross-validated (rmse, ridge) of every draw, best first.
 
-    The folds are written once and serve all draws. The loop is over the handful of draws and folds;
-    each fit and score in it is a distributed job.
+    The folds are written once; one of them is held in memory at a time, for all draws. The loop is over
+    the handful of draws and folds; each fit and score in it is a distributed job.
     """
     tagged = materialise(time_series_folds(train, cfg.folds, keys))
-    prepared = []
+    squares = dict.fromkeys(draws(cfg), 0.0)
+    tested = 0
     for fold in range(cfg.folds):
         rows = tagged.filter(F.col("fold") == fold)
-        known = rows.filter(F.col("role") == "train")
-        wide = features(rows, known, cfg).select(*keys, "ds", "y", "role", "features")
-        # The fits pass over these rows many times; a lost block is recomputed from the folds' table.
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
-        prepared.append(wide)
-    scored = []
-    for ridge, rounds in draws(cfg):
-        tested = [
-            _fit(wide.filter("role = 'train'"), cfg, ridge, rounds)
-            .transform(wide.filter("role = 'test'"))
-            .select("y", F.col("y_prediction").alias("yhat"))
-            for wide in prepared
-        ]
-        both = tested[0]
-        for more in tested[1:]:
-            both = both.unionByName(more)
-        scored.append((cv_metrics(both, []).first()["rmse"], ridge, rounds))
-    for wide in prepared:
-        wide.unpersist()
-    return sorted(scored, key=lambda s: s[0])
+        wide, names = features(rows, rows.filter(F.col("role") == "train"), cfg, keys)
+        wide = materialise(wide.select("y", "role", *names))
+        wide = assembled(wide, independent(wide.filter("role = 'train'"), names))
+        wide = wide.select("y", "role", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            known, asked = wide.filter("role = 'train'"), wide.filter("role = 'test'")
+            for ridge in squares:
+                gap = F.col("y") - F.col("y_prediction")
+                scored = _fit(known, cfg, ridge).transform(asked)
+                found = scored.agg(F.sum(gap * gap).alias("s"), F.count(gap).alias("n")).first()
+                squares[ridge] += found["s"] or 0.0
+            tested += found["n"]
+        finally:
+            wide.unpersist()
+    return sorted((math.sqrt(s / max(tested, 1)), ridge) for ridge, s in squares.items())
+
+
+def _trained(
+    tagged: DataFrame, cfg: TweedieConfig, keys: Sequence[str], ridge: float
+) -> tuple[DataFrame, GeneralizedLinearRegressionModel, list[str]]:
+    """Assembled rows, written once, and the model of those that train."""
+    wide, names = features(tagged, tagged.filter("is_train"), cfg, keys)
+    wide = materialise(wide)
+    names = independent(wide.filter("is_train"), names)
+    wide = assembled(wide, names)
+    return wide, _fit(wide.filter("is_train"), cfg, ridge), names
 
 
 def tweedie_forecast(
     series: DataFrame,
     cfg: TweedieConfig | None = None,
     keys: Sequence[str] = ("store", "business_unit"),
-    params: tuple[float, int] | None = None,
+    ridge: float | None = None,
+    run_date: dt.date | None = None,
 ) -> DataFrame:
-    """Predictions after the training end, by the best draw of the search or by given ``params``.
+    """Predictions after the training end, by the best draw of the search or by a given ``ridge``.
 
-    The series frame is written once to the checkpoint folder, as the fits read it again and again.
+    The series frame and its features are written once to the checkpoint folder, as the fits read them again
+    and again.
     """
     cfg = cfg or TweedieConfig()
     tagged = materialise(tag_split(series, cfg.train_end, cfg.valid_from))
-    train = tagged.filter("is_train")
-    if params is None:
-        _, ridge, rounds = search(train.drop("is_train", "is_valid", "is_predict"), cfg, keys)[0]
-    else:
-        ridge, rounds = params
-    wide = features(tagged, train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _fit(wide.filter("is_train"), cfg, ridge, rounds)
-    wide.unpersist()
+    if ridge is None:
+        train = tagged.filter("is_train").drop("is_train", "is_valid", "is_predict")
+        ridge = search(train, cfg, keys)[0][1]
+    wide, model, _ = _trained(tagged, cfg, keys, ridge)
     predicted = model.transform(wide.filter("is_predict"))
-    return predicted.select("ds", *keys, *cfg.regressors, "y", "y_prediction")
+    columns = ["ds", *keys, *cfg.regressors, "y", "y_prediction"]
+    return stamp_run(predicted.select(*columns), run_date)
 
 
-def validation_score(
-    series: DataFrame, cfg: TweedieConfig, params: tuple[float, int]
+def optimum(
+    series: DataFrame, cfg: TweedieConfig, ridge: float, keys: Sequence[str] = ("store", "business_unit")
 ) -> DataFrame:
+    """``parameter`` and ``score``: the penalised likelihood's derivatives at the fit, zero at the optimum.
+
+    A row for the intercept and each feature that is kept, in units of the mean weight of a row.
+    """
+    tagged = materialise(tag_split(series, cfg.train_end, cfg.valid_from))
+    wide, model, names = _trained(tagged, cfg, keys, ridge)
+    rows = model.transform(wide.filter("is_train"))
+    pull = (F.col("y") - F.col("y_prediction")) * F.pow("y_prediction", F.lit(1.0 - cfg.power))
+    weight = F.avg(F.pow("y_prediction", F.lit(2.0 - cfg.power)))
+    slopes = dict(zip(names, model.coefficients.toArray().tolist()))
+    scores = [(F.avg(pull) / weight).alias("intercept")]
+    scores += [(F.avg(pull * F.col(n)) / weight - F.lit(ridge * slopes[n])).alias(n) for n in names]
+    return rows.agg(*scores).unpivot([], ["intercept", *names], "parameter", "score")
+
+
+def validation_score(series: DataFrame, cfg: TweedieConfig, ridge: float) -> DataFrame:
     """RMSE on the validation months, which lie inside the training window."""
-    tagged = tag_split(series, cfg.train_end, cfg.valid_from)
-    train = tagged.filter("is_train")
-    wide = features(train, train, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = _fit(wide, cfg, *params).transform(wide.filter("is_valid"))
-    wide.unpersist()
+    tagged = tag_split(series, cfg.train_end, cfg.valid_from).filter("is_train")
+    wide, model, _ = _trained(tagged, cfg, ("store", "business_unit"), ridge)
+    scored = model.transform(wide.filter("is_valid"))
     return cv_metrics(scored.withColumnRenamed("y_prediction", "yhat"), [])

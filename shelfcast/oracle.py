@@ -506,6 +506,13 @@ def oracle_sql() -> dict[str, str]:
         "monthly_promos": f"""WITH {SALES}{PROMOS.format(least="0.09")} SELECT business_unit,
             CAST(month_end AS VARCHAR) AS month_end, round(discount_amount, 4) AS discount_amount,
             1 AS promos FROM promo_months""",
+        "forecast_optimum": f"""{series} SELECT store, business_unit, 1 AS settled, 0.0 AS slope FROM series
+            WHERE ds <= DATE '2001-09-30' GROUP BY ALL HAVING count(DISTINCT ds) >= 2""",
+        # November is the flag black_week on month ends, and no lockdown falls into these years.
+        "tweedie_optimum": """SELECT 'month_' || m AS parameter, 0.0 AS score
+            FROM (SELECT DISTINCT month(l_shipdate) AS m FROM lineitem) WHERE m NOT IN (1, 11)
+            UNION ALL SELECT name, 0.0 FROM (VALUES ('intercept'), ('store_level'), ('business_unit_level'),
+            ('year_centred'), ('black_week')) n(name)""",
         "series_frame": f"{series} SELECT {SERIES_ROW} FROM series",
         "series_frame_by_day": f"""{kept}{LAST}{DAILY} SELECT g.store, city, super_division,
             product_division, g.business_unit,

@@ -195,13 +195,14 @@ def test_tweedie_learns_levels_and_season(spark):
         data += rows(f"s{k}", level=lambda i, d, b=base: b * (3 if d.month == 12 else 1))
     df = spark.createDataFrame(data, SCHEMA)
     cfg = tweedie.TweedieConfig(train_end=D(2021, 6, 30), valid_from=D(2021, 5, 31), folds=2, draws=2)
-    got = tweedie.tweedie_forecast(df, cfg, params=(0.0, 25)).collect()
+    got = tweedie.tweedie_forecast(df, cfg, ridge=1e-6, run_date=D(2022, 1, 1)).collect()
     assert len(got) == 3 * 7
+    assert {r["training_date"] for r in got} == {D(2022, 1, 1)}
     for r in got:
         assert r["y_prediction"] == pytest.approx(r["y"], rel=0.35)
     searched = tweedie.search(df.filter("ds <= '2021-06-30'"), cfg)
     assert len(searched) == 2 and searched[0][0] <= searched[1][0]
-    assert tweedie.validation_score(df, cfg, (0.0, 25)).first()["n_scored"] == 3
+    assert tweedie.validation_score(df, cfg, 1e-6).first()["n_scored"] == 3
 
 
 def test_tweedie_draws_are_distinct_and_repeatable():
@@ -209,6 +210,47 @@ def test_tweedie_draws_are_distinct_and_repeatable():
     assert len(set(tweedie.draws(cfg))) == 10 and tweedie.draws(cfg) == tweedie.draws(cfg)
 
 
+def test_tweedie_keeps_independent_features(spark):
+    data = [(float(i), 2.0 * i + 1, float(i % 3), 7.0, float(i % 3 + 2 * i)) for i in range(50)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double")
+    assert tweedie.independent(df, ["a", "b", "c", "d", "e"]) == ["a", "c"]
+    assert tweedie.independent(df.limit(0), ["a", "b"]) == []
+
+
+def test_fits_settle_at_the_optimum():
+    pick = np.random.default_rng(4)
+    at = np.linspace(0, 1, 62)
+    hinges = [np.maximum(at - c, 0) for c in np.linspace(0, 0.8, 27)[1:-1]]
+    waves = [f(10 * np.pi * j * at) for j in range(1, 11) for f in (np.sin, np.cos)]
+    x = np.column_stack([np.ones(62), at, *hinges, *waves])
+    priors = np.array([[a, b] for a in (0.001, 0.05, 0.5) for b in (0.01, 10.0)])
+    for _ in range(5):
+        y = np.abs(pick.normal(0.4, 0.2, 62) + np.where(at > 0.5, at, 0))
+        fit = solve.fit_settled(x, y / y.max(), 25, 20, priors, 10.0)
+        assert fit.settled.all() and fit.slope.max() < 1e-4
+        best = fit.beta @ x.T
+        for _ in range(20):  # nothing near is better
+            other = fit.beta + pick.normal(0, 1e-3, fit.beta.shape)
+            assert (penalised(x, y / y.max(), other, fit.noise, priors) >= penalised(x, y / y.max(), fit.beta, fit.noise, priors) - 1e-9).all()
+        assert np.isfinite(best).all()
+
+
+def penalised(x, y, beta, noise, priors):
+    lost = ((y - beta @ x.T) ** 2).sum(axis=1) / (2 * noise**2)
+    bent = np.abs(beta[:, 2:27])
+    round_off = np.where(bent > solve.BEND_FLOOR, bent - solve.BEND_FLOOR / 2, bent**2 / (2 * solve.BEND_FLOOR))
+    normal = (beta[:, :2] ** 2).sum(axis=1) / (2 * solve.TREND_PRIOR**2)
+    return lost + normal + (round_off / priors[:, :1]).sum(axis=1) + ((beta[:, 27:] / priors[:, 1:]) ** 2).sum(axis=1) / 2
+
+
+def test_placeholders_before_the_train_end_do_not_train(spark):
+    data = [(*r, False) for r in rows("s", n=40)] + [("s", "p", month_end(40), 0.0, 0, 0, True)]
+    cfg = dataclasses.replace(CFG, train_end=month_end(40))
+    got = additive.forecast(spark.createDataFrame(data, SCHEMA + ", is_future boolean"), cfg)
+    last = got.filter(F.col("ds") == F.lit(month_end(40))).collect()
+    assert len(last) == 1 and not last[0]["is_train"] and last[0]["yhat"] == pytest.approx(90, rel=0.1)
+
+
 def test_daily_series_with_weekly_season(spark):
     def level(i):
         return 20.0 + 5 * (i % 7 == 5)
