@@ -25,9 +25,13 @@ HEADLINE = (
     "time_series_folds",
     "score",
     "profile",
+    "attach_last_attributes",
+    "keep_eligible",
+    "normal_stats",
     "design_matrix",
     "forecast",
     "grid_search",
+    "random_search",
     "tweedie_forecast",
     "console_line_frame",
     "device_line_forecast",
@@ -40,7 +44,11 @@ def main() -> None:
     spark = build(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": f"{Path.cwd().as_uri()}/spark-warehouse/bench",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -220,14 +221,37 @@ def max_date(df: DataFrame, date: str = "sale_date") -> DataFrame:
     return df.agg(F.max(date).alias("max_date"))
 
 
-def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Per column: rows, distinct values, nulls and whether there are any, from one aggregation."""
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
+    """Per column: rows, distinct values, nulls and whether there are any.
+
+    Distinct values are estimated in one pass. ``exact`` counts each column's values by themselves, which reads
+    ``df`` once for each column but shuffles only values that each task has already merged.
+    """
     names = df.columns
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    if exact:
+        counted = []
+        for name in names:
+            values = df.groupBy(F.col(f"`{name}`").alias("v")).agg(F.count("*").alias("n"))
+            absent = F.col("v").isNull()
+            counted.append(
+                values.agg(
+                    F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                    F.count("v").alias("n_distinct"),
+                    F.coalesce(F.sum(F.when(absent, F.col("n"))), F.lit(0)).alias("n_null"),
+                ).select(
+                    F.lit(name).alias("column_name"),
+                    "n_rows",
+                    F.lit(len(names)).alias("n_columns"),
+                    "n_distinct",
+                    "n_null",
+                    (F.col("n_null") > 0).alias("has_null"),
+                )
+            )
+        return functools.reduce(DataFrame.unionAll, counted)
     totals = df.agg(
         F.count("*").alias("n_rows"),
-        *[distinct(F.col(n)).alias(f"d{i}") for i, n in enumerate(names)],
-        *[F.count_if(F.col(n).isNull()).alias(f"n{i}") for i, n in enumerate(names)],
+        *[F.approx_count_distinct(F.col(f"`{n}`")).alias(f"d{i}") for i, n in enumerate(names)],
+        *[F.count_if(F.col(f"`{n}`").isNull()).alias(f"n{i}") for i, n in enumerate(names)],
     )
     rows = F.array(
         *[

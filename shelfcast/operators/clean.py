@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from shelfcast.session import materialise
+
 
 def drop_returns(df: DataFrame, quantity: str = "quantity") -> DataFrame:
     """Keep sales that are not returns; an unknown quantity goes too."""
@@ -20,11 +22,18 @@ def filter_equals(df: DataFrame, column: str, value: object) -> DataFrame:
 def filter_in(df: DataFrame, column: str, values: Iterable | DataFrame) -> DataFrame:
     """Keep rows whose value is listed, either in a short literal list or in a one-column frame."""
     if isinstance(values, DataFrame):
-        listed = values.select(F.col(values.columns[0]).alias(column)).distinct()
-        return df.join(listed, column, "left_semi")
+        return df.join(_listed(values, column), column, "left_semi")
     return df.filter(F.col(column).isin(list(values)))
 
 
+def _listed(values: DataFrame, column: str) -> DataFrame:
+    """The distinct values as a written table, so that its size is known when the join is planned.
+
+    A short list is then broadcast from the start, and ``df`` is not shuffled on the few values of a hot column.
+    """
+    return materialise(values.select(F.col(values.columns[0]).alias(column)).distinct())
+
+
 def keep_eligible(df: DataFrame, history: DataFrame, column: str = "store") -> DataFrame:
     """Keep stores that occur in history."""
     return filter_in(df, column, history.select(column))
@@ -33,8 +42,7 @@ def keep_eligible(df: DataFrame, history: DataFrame, column: str = "store") -> D
 def drop_closed(df: DataFrame, closed: Sequence[str] | DataFrame, column: str = "store") -> DataFrame:
     """Drop listed stores. A row without a store stays, as it matches no list entry."""
     if isinstance(closed, DataFrame):
-        listed = closed.select(F.col(closed.columns[0]).alias(column)).distinct()
-        return df.join(listed, column, "left_anti")
+        return df.join(_listed(closed, column), column, "left_anti")
     return df.filter(F.col(column).isNull() | ~F.col(column).isin(list(closed)))
 
 

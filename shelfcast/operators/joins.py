@@ -7,16 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.schema import SERIES
-
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting: beyond ``rows`` the join stays Spark's shuffled one.
-
-    Meant for scanned dimensions and other frames that are cheap to count.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+from shelfcast.session import materialise
 
 
 def last_attribute(
@@ -39,8 +30,11 @@ def last_attribute(
 def attach_last(
     df: DataFrame, source: DataFrame, key: str, attributes: Sequence[str], order: str = "sale_date"
 ) -> DataFrame:
-    """Replace the attributes of ``df`` by the last ones seen per key in ``source``."""
-    lookup = last_attribute(source, key, attributes, order)
+    """Replace the attributes of ``df`` by the last ones seen per key in ``source``.
+
+    The lookup is written first, so the join is planned with its size and ``df`` stays in place where it is small.
+    """
+    lookup = materialise(last_attribute(source, key, attributes, order))
     return df.drop(*attributes).join(lookup, key, "left")
 
 
@@ -55,7 +49,8 @@ def map_lookup(
 ) -> DataFrame:
     """Add ``out``: the dimension's ``value`` where its ``key`` equals ``on``; null where unmapped.
 
-    A repeated key counts once: its last entry by ``order``, or its largest value without one.
+    A repeated key counts once: its last entry by ``order``, or its largest value without one. The lookup is
+    written first, so that its size in bytes, not a guess, decides how it is joined.
     """
     entry = F.col(f"`{value}`")
     rank = F.struct(F.col(order), entry) if order else entry
@@ -64,7 +59,7 @@ def map_lookup(
         .groupBy(F.col(f"`{key}`").alias(on))
         .agg(F.max_by(entry, rank).alias(out))
     )
-    return df.join(broadcast_if_small(lookup), on, "left")
+    return df.join(materialise(lookup), on, "left")
 
 
 def add_promos(

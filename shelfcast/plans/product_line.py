@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast import fixed_values as fixed
 from shelfcast.functions.calendar import apply_calendar_rules, future_frame, november_flag
-from shelfcast.functions.metrics import round_up_above
+from shelfcast.functions.metrics import round_up_above, score
 from shelfcast.models.additive import forecast
 from shelfcast.models.design import ForecastConfig
+from shelfcast.models.search import Trial, search
 from shelfcast.operators import clean
 from shelfcast.operators.aggregate import densify, monthly_promos
 from shelfcast.operators.joins import add_promos, map_lookup
@@ -175,9 +177,14 @@ def run_product_line(
     run_date: dt.date | None = None,
     template_store: str | None = None,
     profile: str = "reference",
+    trials: Sequence[Trial] | None = None,
+    cutoffs: Sequence[dt.date] = (),
+    horizon: int = 60,
 ) -> dict[str, DataFrame]:
-    """All frames of one line: merged daily sales, model frame, forecast, historic and predicted.
+    """All frames of one line: merged daily sales, model frame, forecast, historic and predicted, scores.
 
+    With ``trials``, each series is first searched for its best priors over ``cutoffs``, and fitted with those;
+    they are the frame ``best``. Scores are of the fit on its training points, in all and by product.
     The merged sales and the forecast feed several frames each, so both are written once to the
     checkpoint folder.
     """
@@ -187,15 +194,26 @@ def run_product_line(
     base = merged if line.model_base == "union" else new
     frame = model_frame(base, line, promotions, template_store, profile)
     cfg = ForecastConfig(regressors=line.regressors, train_end=train_end)
-    fitted = materialise(forecast(frame, cfg, run_date=run_date).drop("is_train"))
+    best = None
+    if trials:
+        if not cutoffs:
+            raise ValueError("a search needs cutoffs")
+        frame = materialise(frame)
+        best = materialise(search(frame, cfg, trials, cutoffs, horizon))
+    fitted = materialise(forecast(frame, cfg, best=best, run_date=run_date))
+    known = fitted.filter("is_train")
+    fitted = fitted.drop("is_train")
     historic, predicted = publish_frames(fitted, train_end)
-    return {
+    frames = {
         "merged": merged,
         "model_frame": frame,
         "forecast": fitted,
         "historic": historic,
         "predicted": predicted,
+        "scores": score(known),
+        "scores_by_product": score(known, ["business_unit"]),
     }
+    return frames | ({"best": best} if best is not None else {})
 
 
 def register_sales(frame: DataFrame, name: str = "sales") -> DataFrame:

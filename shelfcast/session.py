@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,15 @@ def build(app: str = "shelfcast", master: str | None = None, **conf: str) -> Spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; else a folder in the session's warehouse.
+    """The shared folder that ``spark.checkpoint.dir`` names; without one, a cluster is an error.
 
-    The warehouse is the other place that the driver and every executor of a session share, so no
-    machine-local folder is ever taken.
+    A local session, which has one process, then takes a folder in its warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfcast-checkpoints"
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,7 +12,22 @@ from shelfcast.schema import SALES
 _CORRUPT = "_corrupt_line"
 
 
-def _parsed(source: Column, was: T.DataType, wanted: T.DataType) -> Column:
+#: Read one after the other, after ISO dates; a date with slashes has its month first unless its year is.
+DATE_FORMATS = ("d.M.yyyy", "M/d/yyyy", "yyyy/M/d")
+
+
+def parsed_date(source: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """The date a text names in ISO form or in one of ``formats``; null if none fits."""
+    text = F.trim(source)
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(text.try_cast(T.DateType()), *tried)
+
+
+def _parsed(
+    source: Column, was: T.DataType, wanted: T.DataType, formats: Sequence[str] = DATE_FORMATS
+) -> Column:
+    if isinstance(was, T.StringType) and isinstance(wanted, T.DateType):
+        return parsed_date(source, formats)
     if isinstance(was, T.StringType) and isinstance(wanted, T.LongType):
         # "2.0" is a whole number too; a plain string-to-bigint cast would reject it.
         return source.try_cast(T.DecimalType(24, 4)).cast(wanted)
@@ -21,23 +36,62 @@ def _parsed(source: Column, was: T.DataType, wanted: T.DataType) -> Column:
     return source.cast(wanted)
 
 
+def _sources(df: DataFrame, mapping: Mapping[str, str]) -> dict[str, str]:
+    """By canonical name, the column that it is read from."""
+    source = {new: old for old, new in mapping.items() if old in df.columns}
+    return source | {c: c for c in SALES.names if c in df.columns and c not in source}
+
+
 def canonicalise(
-    df: DataFrame, mapping: Mapping[str, str] = RAW_COLUMNS, keep: tuple[str, ...] = ()
+    df: DataFrame,
+    mapping: Mapping[str, str] = RAW_COLUMNS,
+    keep: tuple[str, ...] = (),
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Pick, rename and type the sales columns; a canonical column without a source becomes null."""
-    source = {new: old for old, new in mapping.items() if old in df.columns}
-    source |= {c: c for c in SALES.names if c in df.columns and c not in source}
+    """Pick, rename and type the sales columns; a canonical column without a source becomes null.
+
+    So does a value that cannot be typed; ``rejected_rows`` has the rows with such values.
+    """
+    source = _sources(df, mapping)
     columns = []
     for field in SALES:
         if field.name in source:
             raw = source[field.name]
-            value = _parsed(F.col(f"`{raw}`"), df.schema[raw].dataType, field.dataType)
+            value = _parsed(F.col(f"`{raw}`"), df.schema[raw].dataType, field.dataType, date_formats)
         else:
             value = F.lit(None).cast(field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns, *keep)
 
 
+def rejected_rows(
+    df: DataFrame,
+    mapping: Mapping[str, str] = RAW_COLUMNS,
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
+    """Raw rows that hold a value ``canonicalise`` cannot type, with ``rejected``, the names of such columns.
+
+    A null or blank value is missing, not rejected.
+    """
+    found = []
+    for field in SALES:
+        raw = _sources(df, mapping).get(field.name)
+        if raw is not None:
+            value = F.col(f"`{raw}`")
+            typed = _parsed(value, df.schema[raw].dataType, field.dataType, date_formats)
+            bad = (F.trim(value.cast("string")) != "") & typed.isNull()
+            found.append(F.when(bad, F.lit(field.name)))
+    return df.withColumn("rejected", F.array_compact(F.array(*found))).filter(F.size("rejected") > 0)
+
+
+def read_raw(
+    spark: SparkSession, path: str, fmt: str = "csv", options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A file as it is; CSV as text with a header, never inferred."""
+    reader = spark.read.options(**(options or {}))
+    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+
+
 def read_sales(
     spark: SparkSession,
     path: str,
@@ -45,14 +99,10 @@ def read_sales(
     mapping: Mapping[str, str] = RAW_COLUMNS,
     keep: tuple[str, ...] = (),
     options: Mapping[str, str] | None = None,
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Sales in canonical form. CSV is read as text with a header and typed here, never inferred."""
-    reader = spark.read.options(**(options or {}))
-    if fmt == "csv":
-        raw = reader.option("header", True).csv(path)
-    else:
-        raw = reader.format(fmt).load(path)
-    return canonicalise(raw, mapping, keep)
+    return canonicalise(read_raw(spark, path, fmt, options), mapping, keep, date_formats)
 
 
 def read_dimension(
@@ -85,13 +135,16 @@ def read_dimension(
 
 
 def read_promotions(
-    spark: SparkSession, path: str, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    options: Mapping[str, str] | None = None,
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Promotion calendar: product, date, discount."""
     raw = spark.read.options(**(options or {})).option("header", True).csv(path)
     source = {new: old for old, new in RAW_PROMO_COLUMNS.items() if old in raw.columns}
     return raw.select(
         F.col(f"`{source['business_unit']}`").alias("business_unit"),
-        F.col(f"`{source['sale_date']}`").try_cast(T.DateType()).alias("sale_date"),
+        parsed_date(F.col(f"`{source['sale_date']}`"), date_formats).alias("sale_date"),
         F.col(f"`{source['discount_amount']}`").try_cast(T.DoubleType()).alias("discount_amount"),
     )

@@ -11,11 +11,17 @@ from shelfcast.session import build  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
     session = build(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{folder}/shared",
+            "spark.sql.warehouse.dir": f"file://{folder}/warehouse",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -118,6 +118,6 @@ def test_money_is_cut_toward_zero(spark):
 
 def test_profile_counts(spark):
     df = spark.createDataFrame([("a", 1), (None, 1)], "s string, n int")
-    got = {r["column_name"]: (r["n_rows"], r["n_distinct"], r["n_null"], r["has_null"]) for r in aggregate.profile(df).collect()}
+    got = {r["column_name"]: (r["n_rows"], r["n_distinct"], r["n_null"], r["has_null"]) for r in aggregate.profile(df, exact=True).collect()}
     assert got == {"s": (2, 1, 1, True), "n": (2, 1, 0, False)}
-    assert aggregate.profile(df, approximate=True).count() == 2
+    assert {tuple(r) for r in aggregate.profile(df).collect()} == {tuple(r) for r in aggregate.profile(df, exact=True).collect()}

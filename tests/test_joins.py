@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from shelfcast.operators import joins
+from shelfcast.operators import clean, joins
 
 D = dt.date
 
@@ -29,9 +29,23 @@ def test_last_attributes_are_chosen_one_by_one(spark):
     assert tuple(joins.last_attribute(df, "store", ("city", "zip")).first()) == ("s", "y", "2")
 
 
-def test_broadcast_only_below_the_bound(spark):
-    assert "broadcast" in joins.broadcast_if_small(spark.range(5), 5)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_if_small(spark.range(6), 5)._jdf.queryExecution().toString()
+def test_lookups_leave_the_fact_in_place(spark, tmp_path):
+    """Short lookups are broadcast from the start: no exchange on the fact's hot column."""
+    path = f"file://{tmp_path}/fact"
+    rows = [(f"s{i % 3}", f"c{i % 2}", D(2021, 1, 1 + i % 28)) for i in range(500)]
+    spark.createDataFrame(rows, "store string, city string, sale_date date").write.parquet(path)
+    fact = spark.read.parquet(path)
+    frames = [
+        joins.attach_last(fact, fact, "store", ("city",)),
+        clean.keep_eligible(fact, fact.filter("city = 'c1'")),
+        clean.drop_closed(fact, fact.filter("store = 's1'").select("store")),
+        joins.map_lookup(fact, fact, "store", "store", "city", "town"),
+    ]
+    for frame in frames:
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    assert frames[1].count() == 500 and frames[2].filter("store = 's1'").count() == 0
 
 
 def test_repeated_actuals_multiply_and_future_stays_null(spark):

@@ -8,6 +8,7 @@ import pytest
 from shelfcast import session
 from shelfcast.schema import SALES
 from shelfcast.sources import (
+    readers,
     canonicalise,
     publish_tables,
     read_dimension,
@@ -120,3 +121,25 @@ def test_cluster_without_a_checkpoint_folder_is_an_error():
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+def test_dates_of_other_forms_and_rejected_rows(spark):
+    raw = spark.createDataFrame(
+        [
+            ("31.12.2021", "2"),
+            ("12/31/2021", "2.0"),
+            ("2021/12/31", "3"),
+            ("2021-12-31", "-1"),
+            ("31/12/2021", "1"),
+            ("soon", "many"),
+            (None, " "),
+        ],
+        "sale_date string, quantity string",
+    )
+    typed = readers.canonicalise(raw, {}).select("sale_date", "quantity").collect()
+    assert [r["sale_date"] for r in typed] == [dt.date(2021, 12, 31)] * 4 + [None] * 3
+    assert [r["quantity"] for r in typed] == [2, 2, 3, -1, 1, None, None]
+    rejected = {r["sale_date"]: r["rejected"] for r in readers.rejected_rows(raw, {}).collect()}
+    assert rejected == {"31/12/2021": ["sale_date"], "soon": ["sale_date", "quantity"]}
+    day_first = readers.canonicalise(raw, {}, date_formats=("d/M/yyyy",)).collect()
+    assert day_first[4]["sale_date"] == dt.date(2021, 12, 31)
