@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
@@ -11,9 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.fixed_values import Rule
 from shelfcast.operators.joins import last_attribute
+from shelfcast.session import materialise
 
-# Both sides of the store-by-product frame are cut into this many parts.
-_PARTS = 16
+# Pairs of store and product that meet in one part of the join, about.
+_PAIRS = 1_000_000
 
 
 def period_end(date: Column, freq: str) -> Column:
@@ -255,29 +257,35 @@ def future_frame(
 
     Every store gets every template product: the products sold anywhere on the last date, or in
     ``template_store`` on it. The store's last attributes come along. With ``grain="month"`` one row
-    per month end stands for its days. The result is stores x products x days by definition; stores
-    and products meet in an equi-join on a pair of part numbers, so that no side is broadcast whole
-    or kept in one task.
+    per month end stands for its days.
+
+    ``df`` is read once, for the last date of each combination of its keys; that table is written and gives
+    the last date, the template and the stores. The result is stores x products x days by definition; stores and
+    products meet in an equi-join on a pair of part numbers, of which there are as many as the pairs need,
+    so that no side is broadcast whole or kept in one task.
     """
-    last = df.agg(F.max(date)).scalar()
-    template = df.filter(F.col(date) == last)
-    if template_store is not None:
-        template = template.filter(F.col("store") == template_store)
     levels = [c for c in levels if c in df.columns]
     attributes = [c for c in attributes if c in df.columns]
+    keys = ["store", *attributes, *levels, "business_unit"]
+    seen = materialise(df.groupBy(*keys).agg(F.max(date).alias(date)))
+    last = seen.agg(F.max(date)).scalar()
+    template = seen.filter(F.col(date) == last)
+    if template_store is not None:
+        template = template.filter(F.col("store") == template_store)
     products = template.select(*levels, "business_unit").distinct()
-    stores = last_attribute(df, "store", attributes, date)
-    parts = F.sequence(F.lit(0), F.lit(_PARTS - 1))
+    stores = last_attribute(seen, "store", attributes, date)
+    n_parts = math.isqrt(stores.count() * products.count() // _PAIRS) + 1
+    parts = F.sequence(F.lit(0), F.lit(n_parts - 1))
     stores = stores.select(
         "store",
         *attributes,
-        F.pmod(F.hash("store"), F.lit(_PARTS)).alias("_store_part"),
+        F.pmod(F.hash("store"), F.lit(n_parts)).alias("_store_part"),
         F.explode(parts).alias("_product_part"),
     )
     products = products.select(
         *levels,
         "business_unit",
-        F.pmod(F.hash(*levels, "business_unit"), F.lit(_PARTS)).alias("_product_part"),
+        F.pmod(F.hash(*levels, "business_unit"), F.lit(n_parts)).alias("_product_part"),
         F.explode(parts).alias("_store_part"),
     )
     pairs = stores.join(products, ["_store_part", "_product_part"]).withColumn("_last", last)
