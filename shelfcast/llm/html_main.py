@@ -7,7 +7,7 @@ and each page is extracted again from the containers on the first winning path t
 no host, is extracted from its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments go wherever they stand, known by
-tag, by a word of their class, id or role, or by being made of links.
+tag, by a word of their class, id or role, or, outside articles, by being made of links.
 
 Defined cases: null or empty pages, and pages without text, give the empty text; tags that are never closed end with
 the page, stray closing tags are passed over; text outside all tags counts as the root's; a null url has no host;
@@ -187,8 +187,10 @@ class Page:
         for i in range(len(self.parent) - 1, 0, -1):
             whole[self.parent[i]] += whole[i]
             linked[self.parent[i]] += linked[i]
+        article = [False] * len(self.parent)
         for i in range(1, len(self.parent)):
-            menu = self.tag[i] not in NEVER_ASIDE and self.tag[i] != "article" and whole[i] > 0
+            article[i] = self.tag[i] == "article" or article[self.parent[i]]
+            menu = not article[i] and self.tag[i] not in NEVER_ASIDE and whole[i] > 0
             menu = menu and linked[i] >= LINKS * whole[i]
             self.aside[i] = self.aside[i] or self.aside[self.parent[i]] or menu
         self.text = [0 if aside else n for aside, n in zip(self.aside, self.own, strict=True)]
