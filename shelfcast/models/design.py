@@ -89,14 +89,15 @@ def series_rows(
 def with_future(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Split ``obs`` into ``train`` and the points to predict: the training dates and the next periods.
 
-    A placeholder of the future is no observation, wherever its date lies.
+    A placeholder of the future is no observation, wherever its date lies; before the training end it is predicted.
     A future point takes its regressors from the observation of that date, or 0 without one; its
     actual stays null unless it was really observed. A series without training data predicts from
     the training end on.
     """
     end = F.lit(cfg.train_end)
     train = F.filter("obs", lambda o: (o["ds"] <= end) & ~o["is_future"])
-    last = F.coalesce(F.array_max(F.transform("train", lambda o: o["ds"])), end)
+    waiting = F.filter("obs", lambda o: (o["ds"] <= end) & o["is_future"])
+    last = F.array_max(F.transform(F.filter("obs", lambda o: o["ds"] <= end), lambda o: o["ds"]))
 
     def point(day: Column) -> Column:
         seen = F.get(F.filter("obs", lambda o: o["ds"] == day), F.lit(0))
@@ -115,8 +116,10 @@ def with_future(rows: DataFrame, cfg: ForecastConfig) -> DataFrame:
             *[o[r].alias(r) for r in cfg.regressors],
         ),
     )
-    ahead = F.transform(next_period_ends(last, cfg.periods, cfg.freq), point)
-    return rows.withColumn("train", train).withColumn("points", F.concat(known, ahead)).drop("obs")
+    asked = F.transform(waiting, lambda o: point(o["ds"]))
+    ahead = F.transform(next_period_ends(F.coalesce(last, end), cfg.periods, cfg.freq), point)
+    points = F.concat(known, asked, ahead)
+    return rows.withColumn("train", train).withColumn("points", points).drop("obs")
 
 
 def with_fold(

@@ -90,14 +90,20 @@ def model_frame(
 ) -> DataFrame:
     """Monthly model input with regressors, reaching to the end of the month after the last sale.
 
-    The future part of the frame is flagged ``is_future``: its months hold no sale yet.
+    The future part of the frame is flagged ``is_future``: its months hold no sale yet. Repeated rows count once.
+    A cell without a sale changes no sum, so only the others are compared as whole rows; the empty ones are taken
+    together by month before they are shuffled.
     """
-    sales = clean.dedup(sales)
     levels = [c for c in line.levels if c in sales.columns]
     future = future_frame(sales, template_store, levels=levels, grain="month")
     keys = ["store", "city", *levels, "business_unit"]
+    empty = F.coalesce("quantity", F.lit(0)) == 0
+    months = sales.filter(empty).dropna(subset=[*keys, "sale_date"])
+    months = months.groupBy(*keys, F.last_day("sale_date").alias("sale_date")).agg(F.sum("quantity").alias("quantity"))
     rows = clean.append(
-        sales.withColumn("is_future", F.lit(False)), future.withColumn("is_future", F.lit(True))
+        clean.dedup(sales.filter(~empty)).withColumn("is_future", F.lit(False)),
+        months.withColumn("is_future", F.lit(False)),
+        future.withColumn("is_future", F.lit(True)),
     )
     monthly = (
         rows.dropna(subset=[*keys, "sale_date"])

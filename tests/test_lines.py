@@ -84,6 +84,15 @@ def test_console_line_to_published_frames(spark, raw, history, dimension):
     series = frame.select("store", "business_unit").distinct().count()
     predicted = frames["predicted"].collect()
     assert len(predicted) == series == 6
+    overall = frames["scores"].first()
+    known = frames["forecast"].filter("ds <= '2022-02-28'").count()
+    assert overall["n_scored"] <= known and overall["root_mae"] >= 0 and frames["scores_by_product"].count() <= 6
+    searched = product_line.run_product_line(
+        lines.CONSOLES_FROM_UNION, raw, history, dimension, train_end=D(2022, 2, 28), run_date=D(2022, 3, 1),
+        trials=[(1, 0.05, 10.0), (2, 0.5, 0.1)], cutoffs=[D(2021, 6, 30), D(2021, 9, 30)],
+    )
+    assert searched["best"].count() == 6
+    assert searched["predicted"].count() == 6
     assert {r["ds"] for r in predicted} == {D(2022, 3, 31)}
     assert all(r["yhat"] is None or r["yhat"] == int(r["yhat"]) >= 0 for r in predicted)
     assert {r["y"] for r in predicted} == {None}

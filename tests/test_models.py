@@ -248,6 +248,7 @@ def test_placeholders_before_the_train_end_do_not_train(spark):
     cfg = dataclasses.replace(CFG, train_end=month_end(40))
     got = additive.forecast(spark.createDataFrame(data, SCHEMA + ", is_future boolean"), cfg)
     last = got.filter(F.col("ds") == F.lit(month_end(40))).collect()
+    assert got.agg({"ds": "max"}).first()[0] == month_end(41)
     assert len(last) == 1 and not last[0]["is_train"] and last[0]["yhat"] == pytest.approx(90, rel=0.1)
 
 
