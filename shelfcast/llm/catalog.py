@@ -29,9 +29,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places where documents hold benchmark items."""
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(
-        "text_hash"
-    )
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, benchmark)
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,10 +38,9 @@ def fold(modulus: int) -> Column:
 def without(docs: DataFrame, dropped: DataFrame, how: str = "left_anti") -> DataFrame:
     """Rows of ``docs`` that match no row of ``dropped`` in all its columns, nulls matching nulls.
 
-    ``dropped`` should be a written table: then its known size decides whether it is broadcast, and the
-    texts are shuffled only when it is too large for that.
+    What is dropped grows with the documents, so it is never broadcast: both sides are sorted and merged.
     """
-    other = dropped.select(*(F.col(c).alias(f"__dropped_{c}") for c in dropped.columns))
+    other = dropped.select(*(F.col(c).alias(f"__dropped_{c}") for c in dropped.columns)).hint("merge")
     on = [F.col(c).eqNullSafe(F.col(f"__dropped_{c}")) for c in dropped.columns]
     return docs.join(other, functools.reduce(lambda a, b: a & b, on), how)
 

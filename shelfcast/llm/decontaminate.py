@@ -17,14 +17,15 @@ that overlap, the most similar, then the first, is reported for each item.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import keep_rows, texts
+from shelfcast.llm.common import filter_texts, texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -196,6 +197,24 @@ class ItemIndex:
 _LAST: list = [None, None]
 
 
+def _index(items: list[tuple], settings: tuple) -> ItemIndex:
+    """The index of a pass, built once for each worker process."""
+    if _LAST[0] != (items, settings):
+        _LAST[:] = (items, settings), ItemIndex(items, *settings)
+    return _LAST[1]
+
+
+def item_passes(benchmark: DataFrame, per_pass: int) -> Iterator[list[tuple]]:
+    """The items, about ``per_pass`` of them at a time."""
+    passes = max(1, -(-benchmark.count() // per_pass))
+    dealt = benchmark.select("item_id", "text").withColumn(
+        "pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    )
+    for number in range(passes):
+        items = dealt.filter(F.col("pass") == number).select("item_id", "text").toArrow().to_pylist()
+        yield sorted(((r["item_id"], r["text"]) for r in items), key=repr)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -207,16 +226,14 @@ def find_leaks(
 ) -> DataFrame:
     """A row for each place where a document holds an item.
 
-    ``doc_id``, ``item_id``, ``start`` and ``end`` (code points, end exclusive), ``similarity`` and ``text_hash``
-    of the whole text.
+    ``doc_id``, ``item_id``, ``start`` and ``end`` (code points, end exclusive) and ``similarity``.
     """
     spark = docs.sparkSession
     doc_kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = (
-        f"doc_id {doc_kind}, item_id {item_kind}, start bigint, end bigint, similarity double, text_hash bigint"
+        f"doc_id {doc_kind}, item_id {item_kind}, start bigint, end bigint, similarity double"
     )
-    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     settings = (shingle, least, radius, blocks)
 
     def one_pass(items: list[tuple]) -> DataFrame:
@@ -225,9 +242,7 @@ def find_leaks(
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            if _LAST[0] != (shared.value, settings):
-                _LAST[:] = (shared.value, settings), ItemIndex(shared.value, *settings)
-            index = _LAST[1]
+            index = _index(shared.value, settings)
             for batch in batches:
                 if not index.items:
                     continue
@@ -251,31 +266,43 @@ def find_leaks(
                         pa.array(start, pa.int64()),
                         pa.array(end, pa.int64()),
                         pa.array(like, pa.float64()),
-                        batch.column(2).take(at),
                     ]
-                    names = ["doc_id", "item_id", "start", "end", "similarity", "text_hash"]
+                    names = ["doc_id", "item_id", "start", "end", "similarity"]
                     yield pa.RecordBatch.from_arrays(columns, names).cast(wanted)
 
         from pyspark.sql.pandas.types import to_arrow_schema
         from pyspark.sql.types import _parse_datatype_string
 
         wanted = to_arrow_schema(_parse_datatype_string(schema))
-        return rows.mapInArrow(run, schema)
+        return texts(docs).mapInArrow(run, schema)
 
-    passes = max(1, -(-benchmark.count() // per_pass))
-    dealt = benchmark.select("item_id", "text").withColumn(
-        "pass", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    )
-    found = None
-    for number in range(passes):
-        items = dealt.filter(F.col("pass") == number).select("item_id", "text").toArrow().to_pylist()
-        one = one_pass(sorted(((r["item_id"], r["text"]) for r in items), key=repr))
-        found = one if found is None else found.unionByName(one)
-    return found
+    return functools.reduce(DataFrame.unionByName, map(one_pass, item_passes(benchmark, per_pass)))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    shingle: int = SHINGLE,
+    least: float = SIMILARITY,
+    radius: int = RADIUS,
+    blocks: int = BLOCKS,
+    per_pass: int = PER_PASS,
+) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item, with all their columns, repeated rows too."""
-    leaks = find_leaks(docs, benchmark, **settings).select("doc_id", F.col("text_hash").alias("key")).distinct()
-    decisions = leaks.select("doc_id", "key", F.lit(False).alias("kept"), F.lit(1).alias("copies"))
-    return keep_rows(docs, decisions, F.xxhash64(F.coalesce("text", F.lit(""))))
+    settings = (shingle, least, radius, blocks)
+
+    def clean(items: list[tuple]) -> Callable:
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def keeps(texts_):
+            import numpy as np
+
+            index = _index(shared.value, settings)
+            split = (_WORD.findall(text.lower()) for text in texts_.to_pylist())
+            return np.array([not (index.items and index.matches(words)) for words in split], bool)
+
+        return keeps
+
+    for items in item_passes(benchmark, per_pass):
+        docs = filter_texts(docs, clean(items))
+    return docs

@@ -17,17 +17,22 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import fold, keep_rows, texts, vocabulary_path
+from shelfcast.llm.common import filter_texts, fold, smallest_hashes, texts, vocabulary_path
 from shelfcast.session import materialise
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 VOCABULARY = "piece_bpe_32k.model"
 PER_LANGUAGE = 800
 ROUNDS = 3
 LONGEST = 12  # code points of a piece; the vocabulary's longer ones are not used
+FIT_WORD = 64  # code points of a word of the sample; longer ones do not train, but are scored like any other
 SMOOTHING = 0.1
 UNDETERMINED = "und"
 
@@ -179,7 +184,7 @@ def _pieces(path: str, longest: int) -> Pieces:
 class Scorer:
     """Scores texts, each distinct word once; ``limit`` bounds the words remembered."""
 
-    def __init__(self, model: dict, limit: int = 400_000):
+    def __init__(self, model: dict, limit: int = 150_000):
         self.names, self.weights = model["languages"], model["weights"]
         self.pieces = _pieces(model["path"], model["longest"])
         self.limit, self.known, self.values = limit, {}, None
@@ -208,12 +213,9 @@ class Scorer:
 
 def sample(docs: DataFrame, training: Column, per_language: int = PER_LANGUAGE) -> DataFrame:
     """``lang``, ``word`` and ``n`` of at most ``per_language`` distinct texts a language."""
-    from pyspark.sql import Window
-
     usable = docs.filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    hashed = usable.select("lang", F.xxhash64("text").alias("h")).groupBy("lang", "h").count()
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = hashed.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language)
+    hashed = materialise(usable.select("lang", F.xxhash64("text").alias("h")).distinct())
+    chosen = smallest_hashes(hashed, "lang", "h", F.lit(per_language))
     chosen = materialise(chosen.select(F.col("lang").alias("__lang"), F.col("h").alias("__h")))
     on = (F.col("lang") == F.col("__lang")) & (F.xxhash64("text") == F.col("__h"))
     taken = usable.select("lang", "text").join(F.broadcast(chosen), on).select("lang", "text")
@@ -227,7 +229,7 @@ def sample(docs: DataFrame, training: Column, per_language: int = PER_LANGUAGE)
             counts: dict = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts.setdefault(lang, Counter()).update(words_of(text))
-            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
+            rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items() if len(w) <= FIT_WORD]
             if rows:
                 columns = [pa.array(x) for x in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
@@ -259,47 +261,62 @@ def train(
     return {"languages": names if words else [], "weights": weights, "path": path, "longest": longest}
 
 
+class Predictor:
+    """The predictions of a model for some texts at a time."""
+
+    def __init__(self, model: dict):
+        import numpy as np
+
+        self.names = np.array([*model["languages"], UNDETERMINED], dtype=object)
+        self.scorer = Scorer(model) if len(self.names) > 1 else None
+
+    def __call__(self, texts_: pa.Array):
+        """Number of each text's language (the last one is undetermined), and its posterior."""
+        import numpy as np
+
+        if not self.scorer:
+            return np.zeros(len(texts_), int), np.zeros(len(texts_))
+        some, sums = self.scorer.totals(texts_.to_pylist())
+        share = np.exp(sums - sums.max(axis=1, keepdims=True))
+        best = np.where(some, sums.argmax(axis=1), len(self.names) - 1)
+        return best, np.where(some, share.max(axis=1) / share.sum(axis=1), 0.0)
+
+
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score`` (the language's posterior) and ``text_hash`` for every row."""
+    """``doc_id``, ``lang_pred`` and ``score`` (the language's posterior) for every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # pieces times languages
     del model
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
-        names = np.array([*shared.value["languages"], UNDETERMINED], dtype=object)
-        scorer = Scorer(shared.value) if len(names) > 1 else None
-        for batch in batches:
-            if not scorer:
-                best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
-            else:
-                best, score = np.empty(batch.num_rows, int), np.empty(batch.num_rows)
-                for begin in range(0, batch.num_rows, 1000):
-                    part = slice(begin, begin + 1000)
-                    some, sums = scorer.totals(batch.column(1).slice(begin, 1000).to_pylist())
-                    best[part] = np.where(some, sums.argmax(axis=1), len(names) - 1)
-                    share = np.exp(sums - sums.max(axis=1, keepdims=True))
-                    score[part] = np.where(some, share.max(axis=1) / share.sum(axis=1), 0.0)
-            columns = [batch.column(0), pa.array(names[best], pa.string()), pa.array(score), batch.column(2)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "text_hash"])
-
-    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, text_hash bigint")
-
+        predict = Predictor(shared.value)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                best, score = predict(batch.column(1))
+                columns = [batch.column(0), pa.array(predict.names[best], pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
 
-def training_fold() -> Column:
-    """Rows that may train: crc32 of the id as text, modulo 4, is not 2."""
-    return fold(4) != 2
+    return texts(docs).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
     """Rows of ``docs`` whose language is determined with a posterior of at least ``least``, repeated rows too."""
-    found = identify(docs, model)
-    rejected = found.filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least))
-    decisions = rejected.select("doc_id", F.col("text_hash").alias("key")).distinct()
-    decisions = decisions.select("doc_id", "key", F.lit(False).alias("kept"), F.lit(1).alias("copies"))
-    return keep_rows(docs, decisions, F.xxhash64(F.coalesce("text", F.lit(""))))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    del model
+    held: list = []
 
+    def keeps(texts_):
+        if not held:
+            held.append(Predictor(shared.value))
+        best, score = held[0](texts_)
+        return (best < len(held[0].names) - 1) & (score >= least)
 
+    return filter_texts(docs, keeps)
+
+
+def training_fold() -> Column:
+    """Rows that may train: crc32 of the id as text, modulo 4, is not 2."""
+    return fold(4) != 2
