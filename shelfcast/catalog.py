@@ -314,8 +314,7 @@ def densify_observed(spark, sf):
 
 @query
 def densify_calendar(spark, sf):
-    rare = _kept(spark, sf).filter("quantity = 50 AND business_unit = 'Brand#7'")
-    return _grid_totals(aggregate.densify(rare, axis="calendar"))
+    return _grid_totals(aggregate.densify(_kept(spark, sf), axis="calendar"))
 
 
 @query

@@ -470,16 +470,16 @@ def oracle_sql() -> dict[str, str]:
             super_division, product_division, business_unit, CAST(sum(quantity) AS BIGINT) AS quantity,
             CAST(sum(amount) AS DOUBLE) AS amount FROM kept GROUP BY ALL""",
         "densify_observed": f"{kept}{DAILY} {GRID_TOTALS}",
-        "densify_calendar": f"""WITH {SALES}, kept AS (SELECT * FROM sales
-            WHERE quantity = 50 AND business_unit = 'Brand#7'), cells AS (
-              SELECT sale_date, store, sum(quantity) AS quantity, sum(amount) AS amount
+        "densify_calendar": f"""{kept}, cells AS (
+              SELECT sale_date, store, business_unit, sum(quantity) AS quantity, sum(amount) AS amount
               FROM kept GROUP BY ALL),
             days AS (SELECT CAST(unnest(range(min(sale_date), max(sale_date) + INTERVAL 1 DAY,
               INTERVAL 1 DAY)) AS DATE) AS sale_date FROM kept),
             grid AS (SELECT d.sale_date, p.store, coalesce(c.quantity, 0) AS quantity,
               coalesce(c.amount, 0) AS amount FROM days d
-              CROSS JOIN (SELECT DISTINCT store FROM kept) p
-              LEFT JOIN cells c ON c.sale_date = d.sale_date AND c.store = p.store) {GRID_TOTALS}""",
+              CROSS JOIN (SELECT DISTINCT store, business_unit FROM kept) p
+              LEFT JOIN cells c USING (sale_date, store, business_unit))
+            {GRID_TOTALS}""",
         "densify_monthly": f"""{kept}{DAILY} SELECT CAST(last_day(sale_date) AS VARCHAR) AS sale_date,
             store, business_unit, CAST(sum(quantity) AS BIGINT) AS quantity,
             CAST(sum(amount) AS DOUBLE) AS amount FROM grid GROUP BY ALL""",
