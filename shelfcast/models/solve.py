@@ -18,8 +18,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOLERANCE = 1e-8  # of the fitted values, in units of the series' scale
+SEARCH_TOLERANCE = 3e-4  # where fits only rank trials
 MOST_ROUNDS = 2000  # a fit that takes more is reported as not settled
-LEAD_IN = 4  # reweighted rounds before the first Newton step
+LEAD_IN = 20  # reweighted rounds before the first Newton step
 TREND_PRIOR = 5.0
 NOISE_PRIOR = 0.5
 NOISE_FLOOR = 1e-4
@@ -48,7 +49,13 @@ def _objective(lost, size, beta, variance, fixed, bends, strength) -> np.ndarray
 
 
 def fit_settled(
-    x: np.ndarray, y: np.ndarray, n_cp: int, n_season: int, priors: np.ndarray, holidays_prior: float
+    x: np.ndarray,
+    y: np.ndarray,
+    n_cp: int,
+    n_season: int,
+    priors: np.ndarray,
+    holidays_prior: float,
+    tolerance: float = TOLERANCE,
 ) -> Fit:
     """The most probable coefficients and noise for each row (changepoint, seasonality prior) of ``priors``.
 
@@ -103,7 +110,7 @@ def fit_settled(
         variance[active] = np.maximum(noise, NOISE_FLOOR**2)
         moved = np.abs(new @ x.T - fitted[active]).max(axis=1)
         fitted[active] = new @ x.T
-        active = active[moved > TOLERANCE]
+        active = active[moved > tolerance]
         if not len(active):
             break
     pull = fixed * beta
@@ -244,14 +251,15 @@ def test_batches(
             rows, predicted = [], []
             for s in series_of(table, heads):
                 scale = s.head["y_scale"]
-                beta, _ = fit_map(
+                beta = fit_settled(
                     s.x[s.train],
                     s.y[s.train] / scale,
                     int(s.head["n_cp"]),
                     int(s.head["n_season"]),
                     priors,
                     holidays_prior,
-                )
+                    SEARCH_TOLERANCE,
+                ).beta
                 rows.append(s.start + np.flatnonzero(~s.train))
                 predicted.append(beta @ s.x[~s.train].T * scale)
             tested = np.concatenate(rows)
