@@ -31,14 +31,15 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import fold, smallest_hashes, texts
 from shelfcast.session import materialise
 
-PER_CLASS = {1: 2000, 0: 4000}
+PER_CLASS = {1: 1000, 0: 2000}
 EDGES = (0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0)  # of the classes of log odds
 TOXIC_FROM = 1.5  # log odds of a token labelled toxic
 PREFIXES = range(3, 9)
 LEAST_TEXTS = 3  # that hold a word or beginning of the lexicon
 GRAM = 5  # words of the runs that tell near copies
 SEGMENT = 48  # tokens of a training segment
-STEPS = 250
+TELLING, PLAIN = 3, 10  # segments without such a class train one in ten, and count tenfold
+STEPS = 150
 
 _WORD = re.compile(r"\w+")
 
@@ -54,21 +55,20 @@ def parts_of(word: str) -> list[str]:
 
 def lexicon(toxic: list[set[str]], clean: list[set[str]]) -> dict[str, float]:
     """Lower bounds of the log odds of words and beginnings, from the texts' sets of words."""
-    counts = []
-    for side in (toxic, clean):
-        held: Counter = Counter()
-        for words in side:
-            held.update({part for word in words for part in parts_of(word)})
-        counts.append(held)
-    yes, no = counts
+    yes: Counter = Counter()
+    for words in toxic:
+        yes.update({part for word in words for part in parts_of(word)})
+    yes = Counter({part: n for part, n in yes.items() if n >= LEAST_TEXTS})
+    no: Counter = Counter()
+    for words in clean:
+        no.update({part for word in words for part in parts_of(word)}.intersection(yes))
     out = {}
     for part, n in yes.items():
-        if n >= LEAST_TEXTS:
-            m = no[part]
-            odds = math.log((n + 0.5) / (len(toxic) + 1)) - math.log((m + 0.5) / (len(clean) + 1))
-            low = odds - math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-            if low >= EDGES[0]:
-                out[part] = low
+        m = no[part]
+        odds = math.log((n + 0.5) / (len(toxic) + 1)) - math.log((m + 0.5) / (len(clean) + 1))
+        low = odds - math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
+        if low >= EDGES[0]:
+            out[part] = low
     return out
 
 
@@ -256,8 +256,7 @@ def sample(docs: DataFrame, labels: DataFrame, training: Column, per_class: dict
     """``toxic`` and ``text`` of the training texts, and ``share``: labelled rows for each text of its label."""
     marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = texts(docs.filter(training)).join(marks, F.col("doc_id") == F.col("__id"))
-    rows = rows.select("doc_id", "text", "toxic")
+    rows = texts(docs.filter(training))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -275,18 +274,19 @@ def sample(docs: DataFrame, labels: DataFrame, training: Column, per_class: dict
                     grams = (grams + codes[i : i + len(grams)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
                 grams = (grams ^ (grams >> np.uint64(29))) >> np.uint64(1)
                 sketches[row] = int(grams.min()) if len(grams) else 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sketches)], ["doc_id", "toxic", "sketch"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sketches)], ["doc_id", "sketch"])
 
-    sketched = rows.mapInArrow(run, f"doc_id {kind}, toxic int, sketch bigint")
+    # Sketches meet the labels, texts do not: only ids and hashes are shuffled.
+    sketched = rows.mapInArrow(run, f"doc_id {kind}, sketch bigint")
+    sketched = sketched.join(marks.hint("merge"), F.col("doc_id") == F.col("__id"))
     one = sketched.groupBy("toxic", "sketch").agg(F.min("doc_id").alias("first_id"))
     one = materialise(one.withColumn("code", F.xxhash64("sketch")))
     totals = one.groupBy("toxic").agg(F.count(F.lit(1)).alias("texts"))
     most = F.create_map(*(F.lit(x) for pair in per_class.items() for x in pair))[F.col("toxic")]
     taken = smallest_hashes(one, "toxic", "code", most)
-    taken = materialise(taken.join(F.broadcast(totals), "toxic").select("first_id", "texts"))
-    chosen = rows.join(F.broadcast(taken), F.col("doc_id") == F.col("first_id"))
+    taken = taken.join(F.broadcast(totals), "toxic")  # a row for each label
+    taken = materialise(taken.select(F.col("first_id").alias("__id"), "toxic", "texts"))
+    chosen = rows.join(F.broadcast(taken), F.col("doc_id") == F.col("__id"))  # as many as the sample's bound
     return chosen.groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.max("text").alias("text"), F.max("texts").alias("texts")
     )
@@ -302,22 +302,25 @@ def train(
     import numpy as np
 
     training = F.lit(True) if training is None else training
-    found = sample(docs, labels, training, per_class or PER_CLASS).toArrow().to_pylist()
-    found.sort(key=lambda r: r["doc_id"])
-    labels_ = np.array([r["toxic"] for r in found], np.int64)
-    if not found or labels_.min() == labels_.max():
+    found = sample(docs, labels, training, per_class or PER_CLASS).toArrow().sort_by("doc_id")
+    ids = found["doc_id"].to_pylist()
+    labels_ = found["toxic"].to_numpy().astype(np.int64)
+    if not ids or labels_.min() == labels_.max():
         return None
     held = np.bincount(labels_, minlength=2)
-    weights = np.array([r["texts"] for r in found]) / held[labels_]
-    split = [words_of(r["text"]) for r in found]
+    weights = found["texts"].to_numpy() / held[labels_]
+    once: dict[str, str] = {}  # one object for each distinct word
+    split = [[once.setdefault(w, w) for w in words_of(text.as_py())] for text in found["text"]]
+    del found, once
     sets = [set(words) for words in split]
 
     def made(rows) -> dict[str, float]:
         return lexicon([sets[i] for i in rows if labels_[i]], [sets[i] for i in rows if not labels_[i]])
 
-    whole = made(range(len(found)))
-    half = np.array([zlib.crc32(b"%d" % r["doc_id"]) % 2 for r in found])
+    whole = made(range(len(ids)))
+    half = np.array([zlib.crc32(b"%d" % i) % 2 for i in ids])
     other = [Classes(made(np.flatnonzero(half != h))) for h in (0, 1)]
+    del sets
     classes, tokens = [], []
     for i, words in enumerate(split):
         classes.append(np.array(other[half[i]].of(words), np.int64))
@@ -326,16 +329,16 @@ def train(
     pieces = []
     for i, row in enumerate(classes):
         for begin in range(0, len(row), SEGMENT):
-            part = row[begin : begin + SEGMENT]
-            if part.any() or tokens[i][begin : begin + SEGMENT].any() or (begin // SEGMENT + i) % 10 == 0:
+            part, marks = row[begin : begin + SEGMENT], tokens[i][begin : begin + SEGMENT]
+            telling = marks.any() or part.max() >= TELLING
+            if telling or (begin // SEGMENT + i) % PLAIN == 0:
                 pad = (0, SEGMENT - len(part))
-                weight = weights[i] * (1 if part.any() or tokens[i][begin : begin + SEGMENT].any() else 10)
-                pieces.append((np.pad(part, pad), np.pad(tokens[i][begin : begin + SEGMENT], pad), weight))
+                pieces.append((np.pad(part, pad), np.pad(marks, pad), weights[i] * (1 if telling else PLAIN)))
     if not pieces:
         return None
     x, y, w = (np.array(v) for v in zip(*pieces, strict=True))
     model = train_field(x, y, w / w.mean())
-    scores = np.zeros((len(found), 3))
+    scores = np.zeros((len(ids), 3))
     for h in (0, 1):
         rows = np.flatnonzero(half == h)
         if len(rows):
