@@ -189,7 +189,8 @@ def pack(
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__base"),
     )
     on = (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part"))
-    ranked = found.join(base, on).withColumn("rank", F.col("nth") + F.col("__base"))
+    # As many rows as lengths times tasks, which grows with the corpus: merged, not broadcast.
+    ranked = found.join(base.hint("merge"), on).withColumn("rank", F.col("nth") + F.col("__base"))
     ranked = ranked.drop("__length", "__part", "__base", "part", "nth")
     shared = spark.sparkContext.broadcast(slots)  # bounded by the capacity, not by the documents
     del slots
