@@ -3,12 +3,16 @@
 Patterns find the protected entities: mail addresses, IP addresses, card and phone numbers.  Terms near an entity can
 give it away, so the corpus is asked how much: with documents as the unit of co-occurrence, a term's pointwise
 mutual information with an entity, over the entity's own information content, is the share of the entity that the
-term discloses.  Terms that stand near the entity in enough different contexts and disclose more than a threshold are
-generalised to their class, and beyond a higher one removed.  Entity and term counts come from all documents.
+term discloses.  How sure that is depends on the different contexts in which the two met: the share of the term's
+documents that hold the entity enters with the lower end of its confidence interval.  The first meeting is why the pair
+is looked at, so only the others are evidence.  Terms that disclose more than a threshold are generalised to their
+class, and beyond a higher one removed, at every place of every document, whether or not it holds the entity.  Entity
+and term counts come from all documents.
 
 Defined cases: a null text is the empty text; matches that fail their check are dropped without a retry; contexts
 that are equal word for word count once, so copies of one document disclose nothing by themselves; an entity that
-every document holds has nothing to disclose; repeated rows are each returned; an empty table gives no rows.
+every document holds has nothing to disclose; words inside an entity are part of it; repeated rows are each returned;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,9 +30,11 @@ from shelfcast.session import materialise
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 NEAR = 10  # words before and after an entity
-SUPPORT = 3  # different contexts
+CERTAIN = 1.645  # standard errors from the measured share to the one that is counted: 95% on one side
 GENERALISE, REMOVE = 0.3, 0.5  # share of the entity's information
 FLUSH = 200_000  # terms a task holds before it passes their counts on
+BITS = 1 << 24  # of the filter that tells tasks which words may be flagged terms
+SALTS = 16  # parts of a flagged term's places
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -98,20 +104,28 @@ def is_term(word: str) -> bool:
     return len(word) > 2 and not word.isdigit()
 
 
-def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str, str, int, int, int]]:
-    """``(entity, term, context, start, end)`` of the terms near each entity that are not part of one."""
+def covered_words(words: list[tuple[int, int]], spans: list[Span]) -> set[int]:
+    """Numbers of the words that are part of an entity."""
     import bisect
 
-    import xxhash
-
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     starts = [a for a, _ in words]
-    covered = {
+    return {
         i
         for _, a, b in spans
         for i in range(max(0, bisect.bisect_right(starts, a) - 1), bisect.bisect_left(starts, b))
         if words[i][1] > a
     }
+
+
+def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str, str, int]]:
+    """``(entity, term, context)`` of the terms near each entity that are not part of one."""
+    import bisect
+
+    import xxhash
+
+    words = [m.span() for m in _WORD.finditer(text)]
+    starts = [a for a, _ in words]
+    covered = covered_words(words, spans)
     out = []
     for kind, a, b in spans:
         first, last = bisect.bisect_left(starts, a), bisect.bisect_left(starts, b)
@@ -119,14 +133,14 @@ def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str,
         terms = [text[words[i][0] : words[i][1]].lower() for i in chosen]
         context = xxhash.xxh64_intdigest(" ".join(terms).encode("utf-8", "replace")) >> 1
         entity = entity_key(kind, text[a:b])
-        out += [(entity, t, context, *words[i]) for i, t in zip(chosen, terms, strict=True) if is_term(t)]
+        out += [(entity, t, context) for t in terms if is_term(t)]
     return out
 
 
 def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
     """``doc_id``, ``text_hash``, the counts by kind, ``base`` (spans joined) and ``mentions`` of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    mention = "struct<entity:string,term:string,context:bigint,start:int,end:int>"
+    mention = "struct<entity:string,term:string,context:bigint>"
     schema = (
         f"doc_id {kind}, text_hash bigint, "
         + ", ".join(f"n_{k} bigint" for k in KINDS)
@@ -136,23 +150,13 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        form = pa.list_(
-            pa.struct(
-                [
-                    ("entity", pa.string()),
-                    ("term", pa.string()),
-                    ("context", pa.int64()),
-                    ("start", pa.int32()),
-                    ("end", pa.int32()),
-                ]
-            )
-        )
+        form = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64())]))
         for batch in batches:
             rows = batch.column(1).to_pylist()
             spans = [base_spans(text) for text in rows]
             base = [joined(s) for s in spans]
             near_by = [
-                [dict(zip(("entity", "term", "context", "start", "end"), m, strict=True)) for m in mentions(t, s, near)]
+                [dict(zip(("entity", "term", "context"), m, strict=True)) for m in mentions(t, s, near)]
                 if s
                 else []
                 for t, s in zip(rows, spans, strict=True)
@@ -195,40 +199,110 @@ def term_counts(docs: DataFrame) -> DataFrame:
 def disclosures(
     docs: DataFrame,
     found: DataFrame,
-    support: int = SUPPORT,
+    certain: float = CERTAIN,
     least: float = GENERALISE,
 ) -> DataFrame:
     """``entity``, ``term`` and ``share`` of the pairs whose term discloses at least ``least`` of the entity."""
     total = found.count()
-    each = found.select("doc_id", "text_hash", F.explode("mentions").alias("m")).select("doc_id", "text_hash", "m.*")
-    supported = (
+    each = found.select(F.explode("mentions").alias("m")).select("m.*")
+    met = (
         each.groupBy("entity", "term", "context")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
-        .count()
-        .filter(F.col("count") >= support)
-        .select("entity", "term")
+        .agg(F.count(F.lit(1)).alias("contexts"))
+        .filter("contexts > 1")  # others have no evidence, and a share of nothing
     )
-    supported = materialise(supported)
+    met = materialise(met)
     pairs = found.select(F.explode(F.array_distinct(F.transform("mentions", lambda m: F.struct(m["entity"], m["term"])))).alias("m"))
     pairs = pairs.select(F.col("m").getField("entity").alias("entity"), F.col("m").getField("term").alias("term"))
-    together = pairs.join(supported, ["entity", "term"], "left_semi").groupBy("entity", "term")
-    together = together.agg(F.count(F.lit(1)).alias("n_both"))
+    together = pairs.join(met.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term")
+    together = together.agg(F.count(F.lit(1)).alias("n_both")).join(met, ["entity", "term"])
     entities = found.select(F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity"))
     entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    candidates = materialise(supported.select("term").distinct())
+    candidates = materialise(met.select("term").distinct())
     terms = term_counts(docs).join(candidates, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
     own = F.log2(F.lit(total) / F.col("n_entity"))
-    mutual = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    # Wilson's lower bound, copies counted once: as many trials as give the meetings after the first.
+    rate = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
+    trials, square = (F.col("contexts") - 1) / rate, certain * certain
+    spread = certain * F.sqrt(rate * (1 - rate) / trials + square / (4 * trials * trials))
+    sure = (rate + square / (2 * trials) - spread) / (1 + square / trials)
+    mutual = F.log2(F.lit(total) * sure / F.col("n_entity"))
     share = F.when(own > 0, mutual / own).otherwise(0.0)
     scored = together.join(entities, "entity").join(terms, "term").withColumn("share", share)
     return scored.filter(F.col("share") >= least).select("entity", "term", "share")
 
 
+def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``term``, ``share`` and ``places`` of the ``terms`` in all of every text.
+
+    ``terms`` has ``term`` and ``share``.  Tasks pass on the words that a bitmap of fixed size lets through, which are
+    all of the terms and few others; the terms themselves then meet them by a join in which each has ``SALTS`` parts.
+    """
+    import numpy as np
+
+    bit = F.pmod(F.crc32("term"), F.lit(BITS))
+    cells = terms.select(F.expr("term"), bit.alias("bit")).select(
+        F.floor(F.col("bit") / 8).cast("int").alias("cell"), F.expr("shiftleft(1, cast(bit % 8 as int))").alias("mask")
+    )
+    cells = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table = np.zeros(BITS // 8, np.uint8)
+    table[cells["cell"].to_numpy()] = cells["mask"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import zlib
+
+        import pyarrow as pa
+
+        bitmap = shared.value
+
+        def may_be(word: str) -> bool:
+            term = word.lower()
+            at = zlib.crc32(term.encode("utf-8", "replace")) % BITS
+            return bool(bitmap[at >> 3] >> (at & 7) & 1) and is_term(term)
+
+        passed: set[str] = set()
+        others: set[str] = set()
+        for batch in batches:
+            rows, terms_, places = [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                held = set(_WORD.findall(text))
+                for word in held - passed - others:
+                    (passed if may_be(word) else others).add(word)
+                held &= passed
+                if len(passed) + len(others) > FLUSH:
+                    passed, others = set(), set()
+                if not held:
+                    continue
+                words = [m.span() for m in _WORD.finditer(text)]
+                covered = covered_words(words, base_spans(text))
+                by_term: dict[str, list[dict]] = {}
+                for i, (a, b) in enumerate(words):
+                    if text[a:b] in held and i not in covered:
+                        by_term.setdefault(text[a:b].lower(), []).append({"start": a, "end": b})
+                rows += [row] * len(by_term)
+                terms_ += by_term
+                places += by_term.values()
+            if rows:
+                at = pa.array(rows, pa.int64())
+                form = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                columns = [batch.column(0).take(at), batch.column(2).take(at)]
+                columns += [pa.array(terms_, pa.string()), pa.array(places, form)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "term", "places"])
+
+    schema = f"doc_id {kind}, text_hash bigint, term string, places array<struct<start:int,end:int>>"
+    held = texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
+    held = held.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)))
+    salts = F.explode(F.array(*(F.lit(i).cast("bigint") for i in range(SALTS))))
+    return held.join(terms.withColumn("salt", salts), ["term", "salt"]).drop("salt")
+
+
 def find_personal_data(
     docs: DataFrame,
     near: int = NEAR,
-    support: int = SUPPORT,
+    certain: float = CERTAIN,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -237,13 +311,12 @@ def find_personal_data(
     ``removed`` joins those of the term spans that are to be removed; the other terms are to be generalised.
     """
     found = materialise(scan(docs, near))
-    flagged = materialise(disclosures(docs, found, support, generalise))
-    each = found.select("doc_id", "text_hash", F.explode("mentions").alias("m")).select("doc_id", "text_hash", "m.*")
-    hits = each.join(flagged, ["entity", "term"]).groupBy("doc_id", "text_hash", "start", "end")
-    hits = hits.agg((F.max("share") >= remove).alias("out"))
-    span = F.concat_ws(":", F.lit(TERM), "start", "end")
-    ordered = F.array_sort(F.collect_list(F.struct("start", "end", span.alias("span"), "out")))
-    extra = hits.groupBy("doc_id", "text_hash").agg(ordered.alias("extra"))
+    flagged = disclosures(docs, found, certain, generalise).groupBy("term").agg(F.max("share").alias("share"))
+    flagged = materialise(flagged)
+    hits = term_places(docs, flagged).withColumn("out", F.col("share") >= remove)
+    each = F.transform("places", lambda p: F.struct(p["start"], p["end"], F.concat_ws(":", F.lit(TERM), p["start"], p["end"]).alias("span"), "out"))
+    # Repeated rows give the same places again.
+    extra = hits.groupBy("doc_id", "text_hash").agg(F.array_sort(F.flatten(F.collect_set(each))).alias("extra"))
     extra = materialise(extra.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "extra"))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     listed = F.concat_ws(",", F.transform("extra", lambda x: x["span"]))

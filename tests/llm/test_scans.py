@@ -81,6 +81,29 @@ def test_terms_that_disclose_an_entity(spark, no_docs):
     assert pii.find_personal_data(no_docs).count() == 0
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    pick = random.Random(9)
+    words = [a + b + c for a in "bdfg" for b in ("ana", "ebe", "ili") for c in ("lo", "mi", "tu", "ra")]
+    rows = [(i, " ".join(pick.choices(words, k=40))) for i in range(400)]
+    for i in range(2):  # two contexts
+        text = " ".join(pick.choices(words, k=30))
+        rows.append((1000 + i, f"{text} Zorro from don.diego@vega.example now {text} zorro again"))
+    rows += [(2000, "mail zorro@other.example or ask ZORRO of the hills"), (2000, "mail zorro@other.example or ask ZORRO of the hills")]
+    rows += [(2001, "Zorro! Zorro?"), (2002, "zorros")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = pii.find_personal_data(docs).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    texts = dict(rows)
+    for r in found:
+        text = texts[r.doc_id]
+        spans = [x.split(":") for x in r.spans.split(",") if x.startswith("term")]
+        got = [(int(a), int(b)) for _, a, b in spans if text[int(a) : int(b)].lower() == "zorro"]
+        assert got == [m.span() for m in re.finditer(r"\bzorro\b(?!@)", text, re.IGNORECASE)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "orro" not in clean[1000] and "ORRO" not in clean[2000] and "Zorro" not in clean[2001]
+    assert clean[2002] == "zorros" and clean[5] == texts[5]
+
+
 def items_of(seed: int = 2) -> list[tuple]:
     pick = random.Random(seed)
     names = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "se") for b in ("ban", "dor", "fil", "gus", "hem", "jat")]
