@@ -5,7 +5,8 @@ SimHash sums its shingles' hash bits, each weighted by the shingle's letters.  T
 indexed by blocks of bits: two fingerprints within the radius differ in at most ``radius // blocks`` bits of some
 block, so looking up every block of a window, its near values included, misses no item within the radius.  The
 exact weighted similarity of the shingle multisets then decides.  A window that holds no shingle of an item of its size
-has similarity zero; such windows are not fingerprinted.
+has similarity zero; such windows are not fingerprinted.  A text of fewer words than an item is one window for it, and
+the items that share a shingle with it and are not too long are compared by the exact similarity at once.
 
 Items go to the tasks in passes of at most ``per_pass`` items, whatever the size of the benchmark; documents stay
 where they are and are never shuffled.
@@ -91,6 +92,15 @@ class ItemIndex:
         )
         #: By shingle size: the codes of the items' shingles, ascending, and the sizes of the items with them.
         self.codes = {}
+        #: Items by the code of each of their shingles, those of fewer words than ``shingle`` under none.
+        self.holders: dict[int, list[int]] = {}
+        self.weights = [sum(_weight(g) * n for g, n in c.items()) for c in self.counts]
+        self.longest = max((len(words) for _, words in self.items), default=0)
+        for n, (_, words) in enumerate(self.items):
+            if len(words) >= shingle:
+                ids = np.array([self.vocabulary[w] for w in words], np.int64)
+                for code in set(self.code(ids, shingle).tolist()):
+                    self.holders.setdefault(code, []).append(n)
         for size in sorted({min(shingle, len(words)) for _, words in self.items}):
             found: dict[int, set[int]] = {}
             for _, words in self.items:
@@ -156,11 +166,28 @@ class ItemIndex:
                         out.setdefault(length, set()).update(range(low, high + 1))
         return {length: sorted(found) for length, found in out.items()}
 
+    def longer(self, words: list[str]) -> list[tuple[int, float]]:
+        """``(item, similarity)`` of the matching items that have more words than the whole text."""
+        import numpy as np
+
+        if not self.shingle <= len(words) < self.longest:
+            return []
+        ids = np.fromiter(map(self.vocabulary.get, words, [0] * len(words)), np.int64, len(words))
+        held = {n for code in set(self.code(ids, self.shingle).tolist()) for n in self.holders.get(code, ())}
+        held = sorted(n for n in held if self.lengths[n] > len(words))
+        if not held:
+            return []
+        counts = Counter(shingles_of(words, self.shingle))
+        weight = sum(_weight(g) * n for g, n in counts.items())
+        near = [n for n in held if weight >= self.least * self.weights[n]]  # similarity is at most their ratio
+        likes = ((n, similarity(counts, self.counts[n])) for n in near)
+        return [(n, like) for n, like in likes if like >= self.least]
+
     def matches(self, words: list[str]) -> list[tuple[int, int, float]]:
         """``(item, first word, similarity)`` of the matching windows, overlapping ones of an item resolved."""
         import numpy as np
 
-        found: dict[int, list[tuple[float, int]]] = {}
+        found: dict[int, list[tuple[float, int]]] = {n: [(-like, 0)] for n, like in self.longer(words)}
         for length, starts in self.starts(words).items():
             size = min(self.shingle, length)
             runs = np.split(np.array(starts), np.flatnonzero(np.diff(starts) != 1) + 1)
@@ -255,7 +282,7 @@ def find_leaks(
                             places = [m.span() for m in _WORD.finditer(text.lower())]
                         for item, start, like in hits:
                             key, item_words = index.items[item]
-                            end = places[start + len(item_words) - 1][1]
+                            end = places[min(start + len(item_words), len(places)) - 1][1]
                             out.append((row, key, places[start][0], end, like))
                 if out:
                     row, key, start, end, like = zip(*out, strict=True)

@@ -183,6 +183,36 @@ def test_clean_documents_stay(spark, docs, no_docs):
     assert decontaminate.find_leaks(mine, items.limit(0)).count() == 0
 
 
+def test_texts_shorter_than_an_item_leak(spark):
+    pick = random.Random(12)
+    names = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "se") for b in ("ban", "dor", "fil", "gus", "hem", "jat")]
+    items = [(i, " ".join(pick.choices(names, k=n))) for i, n in enumerate([59, 59, 30, 12, 6, 4])]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        for cut in range(1, len(words)):
+            docs += [(100 * i + cut, " ".join(words[:-cut])), (1000 + 100 * i + cut, " ".join(words[cut:]))]
+    want = Counter()
+    for i, text in docs:
+        words = text.split()
+        for key, item in items:
+            target = item.split()
+            # A text of fewer words is one window.
+            windows = [words[a : a + len(target)] for a in range(max(1, len(words) - len(target) + 1))]
+            have = [Counter(decontaminate.shingles_of(w, 5)) for w in windows]
+            like = max(decontaminate.similarity(h, Counter(decontaminate.shingles_of(target, 5))) for h in have)
+            if like >= 0.8:
+                want[(i, key, round(like, 9))] += 1
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.find_leaks(frame, bench).collect()
+    assert Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in got) == want
+    assert {(3, 0), (103, 1), (1003, 0)} <= {(i, key) for i, key, _ in want}
+    assert all((r.start, r.end) == (0, len(dict(docs)[r.doc_id])) for r in got)
+    kept = {r.doc_id for r in decontaminate.keep_clean(frame, bench).collect()}
+    assert kept == {i for i, _ in docs} - {i for i, _, _ in want}
+
+
 def test_blocks_find_every_item_within_the_radius():
     index = decontaminate.ItemIndex(items_of()[:20], 5, 0.8, 9, 4)
     pick = random.Random(8)
