@@ -9,7 +9,8 @@ The templates are a parameter and small beside any corpus; they go to the tasks,
 
 Defined cases: words are lower-cased runs of letters, digits and underscores; a template of fewer words than a run is
 one run as it stands; null, empty and wordless texts match nothing; of alignments of one template that overlap, the
-one with most matched words, then the first, is reported; repeated rows are each scanned.
+one with most matched words, then the first, is reported, and the words beside it are aligned again; repeated rows are
+each scanned.
 """
 
 from __future__ import annotations
@@ -166,16 +167,29 @@ class TemplateIndex:
                 if last is not None and diagonal - last <= self.band // 2:
                     continue  # the band of the last one takes this diagonal in
                 last = diagonal
-                hit = align(template, words, diagonal, self.band)
-                if hit and hit[0] >= coverage * len(template):
-                    hits.add(hit)
+                self._align_all(template, words, diagonal, coverage, hits)
+            # What a band cut off on one side may stand whole in the next band.
             taken: list[tuple[int, int, int]] = []
-            for hit in sorted(hits, key=lambda h: (-h[0], h[1])):
+            for hit in sorted(hits, key=lambda h: (-h[0], h[1], h[2])):
                 if all(hit[1] > other[2] or hit[2] < other[1] for other in taken):
                     taken.append(hit)
                     out.append((n, *hit))
         return sorted(out, key=lambda x: (x[2], x[0]))
 
+    def _align_all(self, template: list[str], words: list[str], diagonal: int, coverage: float, hits: set) -> None:
+        """Adds the alignments within the band that cover enough; each takes its words from the next ones."""
+        low, high = diagonal - self.band, diagonal + len(template) + self.band
+        spans = [(max(0, low), min(len(words), high))]
+        while spans:
+            begin, end = spans.pop()
+            if end - begin < coverage * len(template):
+                continue
+            hit = align(template, words[begin:end], diagonal - begin, self.band)
+            if hit and hit[0] >= coverage * len(template):
+                first, last = begin + hit[1], begin + hit[2]
+                hits.add((hit[0], first, last))
+                spans += [(begin, first), (last + 1, end)]
+
 
 def scan_licenses(
     docs: DataFrame,

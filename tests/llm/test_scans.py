@@ -271,6 +271,22 @@ def test_licenses_equal_unbanded_alignment(spark, docs, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("times", [2, 3, 7])
+def test_repeated_notices_are_each_reported(spark, times):
+    filler = "river stone under house making water".split()
+    names = sorted(licenses.TEMPLATES)
+    rows = []
+    for i, name in enumerate(names):
+        rows.append((2 * i, " ".join([licenses.TEMPLATES[name]] * times)))
+        rows.append((2 * i + 1, " ".join([*filler, *[licenses.TEMPLATES[name] + " stone"] * times, *filler])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [r for r in licenses.scan_licenses(docs).collect() if r.license == names[r.doc_id // 2]]
+    assert Counter(r.doc_id for r in found) == Counter({i: times for i, _ in rows})
+    texts = dict(rows)
+    for r in found:
+        assert licenses.words_of(texts[r.doc_id][r.start : r.end]) == licenses.words_of(licenses.TEMPLATES[r.license])
+
+
 def test_winnowing_guarantees_shared_fingerprints():
     pick = random.Random(7)
     for _ in range(100):
