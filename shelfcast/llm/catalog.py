@@ -34,8 +34,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places where documents hold a license notice."""
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    """Places where documents hold a license notice, each with the license that fits best."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), best=True)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ WINDOW = 3
 BAND = 8
 COVERAGE = 0.8
 
-#: Public licenses' notices and permission paragraphs.
+#: Public licenses' notices and permission paragraphs; ``-text`` is the beginning of a long license's own text.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
@@ -58,6 +58,70 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "GPL-2.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation, either version 2 of the License,
+        or (at your option) any later version.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License,
+        or (at your option) any later version.""",
+    "LGPL-3.0-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        or (at your option) any later version.""",
+    "GPL-2.0-only": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation, version 2 of the License.""",
+    "GPL-3.0-only": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation, version 3 of the License.""",
+    "GPL-2.0-text": """GNU General Public License Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.
+        Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not
+        allowed.""",
+    "GPL-3.0-text": """GNU General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.
+        Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not
+        allowed.""",
+    "LGPL-2.1-text": """GNU Lesser General Public License Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc.
+        Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not
+        allowed.""",
+    "LGPL-3.0-text": """GNU Lesser General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.
+        Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not
+        allowed.""",
+    "AGPL-3.0-text": """GNU Affero General Public License Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc.
+        Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not
+        allowed.""",
+    "Apache-2.0-text": """Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR
+        USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use,
+        reproduction, and distribution as defined by Sections 1 through 9 of this document.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+        was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "MPL-2.0-text": """Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal
+        entity that creates, contributes to the creation of, or owns Covered Software.""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy
+        at http://www.boost.org/LICENSE_1_0.txt)""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce
+        the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or
+        other materials provided with the distribution. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior
+        written permission.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+        be held liable for any damages arising from the use of this software. Permission is granted to anyone to use
+        this software for any purpose, including commercial applications, and to alter it and redistribute it freely,
+        subject to the following restrictions""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights
+        to this work.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+        publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary,
+        for any purpose, commercial or non-commercial, and by any means.""",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0": """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0
+        International License.""",
+    "CC-BY-NC-ND-4.0": """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0
+        International License.""",
 }
 
 _WORD = re.compile(r"\w+")
@@ -147,8 +211,12 @@ class TemplateIndex:
         self.hashes, self.places = np.array(order, np.uint64), [found[h] for h in order]
         self.shortest = min((len(words) for _, words in self.templates), default=0)
 
-    def matches(self, words: list[str], coverage: float) -> list[tuple[int, int, int, int]]:
-        """``(template, matched words, first word, last word)`` of the alignments that cover enough."""
+    def matches(self, words: list[str], coverage: float, best: bool = False) -> list[tuple[int, int, int, int]]:
+        """``(template, matched words, first word, last word)`` of the alignments that cover enough.
+
+        With ``best``, of those of several templates that overlap, only the one with most matched words, then the
+        best covered.
+        """
         import numpy as np
 
         if not self.templates or len(words) < self.shortest * coverage:
@@ -174,6 +242,11 @@ class TemplateIndex:
                 if all(hit[1] > other[2] or hit[2] < other[1] for other in taken):
                     taken.append(hit)
                     out.append((n, *hit))
+        if best:
+            every, out = sorted(out, key=lambda x: (-x[1], len(self.templates[x[0]][1]), x[2], x[0])), []
+            for hit in every:
+                if all(hit[2] > other[3] or hit[3] < other[2] for other in out):
+                    out.append(hit)
         return sorted(out, key=lambda x: (x[2], x[0]))
 
     def _align_all(self, template: list[str], words: list[str], diagonal: int, coverage: float, hits: set) -> None:
@@ -198,8 +271,9 @@ def scan_licenses(
     gram: int = GRAM,
     window: int = WINDOW,
     band: int = BAND,
+    best: bool = False,
 ) -> DataFrame:
-    """A row for each place where a document holds a template.
+    """A row for each place where a document holds a template; with ``best``, one for places that overlap.
 
     ``doc_id``, ``license``, ``matched`` and ``words`` of the template, ``coverage``, and ``start`` and ``end`` in code
     points, end exclusive.
@@ -215,7 +289,7 @@ def scan_licenses(
             out = []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
-                if hits := index.matches(words, coverage):
+                if hits := index.matches(words, coverage, best):
                     places = [m.span() for m in _WORD.finditer(text)]
                     if len(places) != len(words):  # lower-casing made or undid a word's border
                         places = [m.span() for m in _WORD.finditer(text.lower())]

@@ -271,6 +271,16 @@ def test_licenses_equal_unbanded_alignment(spark, docs, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def test_licenses_that_resemble_are_told_apart(spark):
+    names = "BSD-2-Clause BSD-3-Clause GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MPL-2.0 CC0-1.0 Unlicense".split()
+    assert all(any(t.startswith(name) for t in licenses.TEMPLATES) for name in names)
+    order = sorted(licenses.TEMPLATES)
+    rows = [(i, f"river stone {licenses.TEMPLATES[name]} water") for i, name in enumerate(order)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = licenses.scan_licenses(docs, best=True).collect()
+    assert Counter((r.doc_id, r.license, r.coverage) for r in found) == Counter((i, n, 1.0) for i, n in enumerate(order))
+
+
 @pytest.mark.parametrize("times", [2, 3, 7])
 def test_repeated_notices_are_each_reported(spark, times):
     filler = "river stone under house making water".split()
