@@ -7,7 +7,9 @@ and each page is extracted again from the containers on the first winning path t
 no host, is extracted from its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments go wherever they stand, known by
-tag, by a word of their class, id or role, or, outside articles, by being made of links.
+tag, by a word of their class, id or role, or, outside articles and the chosen container, by being made of links.  A word
+does not drop what holds most of the page's text with its title, nor the container on a winning path that holds more
+than all that is left; inside articles only whole classes count, as its sections may be called anything.
 
 Defined cases: null or empty pages, and pages without text, give the empty text; tags that are never closed end with
 the page, stray closing tags are passed over; text outside all tags counts as the root's; a null url has no host;
@@ -58,7 +60,19 @@ ASIDE_WORDS = frozenset(
     "breadcrumbs pagination pager widget newsletter subscribe signup login form search toolbar copyright".split()
 )
 ARTICLE_ASIDE_WORDS = frozenset("comment comments ad ads advert promo sponsored related teaser".split())
+#: Whole classes of what is no part of the article that it stands in, and ids.
+INSIDE_CLASSES = frozenset(
+    "nav navbar navigation menu sidebar ad ads advert adverts advertisement advertising sponsor sponsored promo cookie "
+    "cookies consent gdpr popup modal overlay comment comments disqus replies respond share sharing social related "
+    "breadcrumb breadcrumbs pagination pager widget newsletter subscribe signup login toolbar footer masthead "
+    "related-posts related-articles share-buttons social-share social-links post-comments comments-area comment-list "
+    "ad-container ad-slot newsletter-signup post-navigation nav-links post-footer entry-footer cookie-notice "
+    "cookie-banner".split()
+)
+INSIDE_IDS = frozenset("comments disqus_thread respond sidebar".split())
 NEVER_ASIDE = frozenset(["html", "body", "main"])
+WIDE = frozenset(["root", "html", "body"])  # hold menus too, even when chosen
+UNTITLED = 0.9  # of the text that a container with an aside's name holds where no title tells what the page is about
 HEADINGS = frozenset(["h1", "h2"])
 
 
@@ -73,10 +87,12 @@ class Page:
     """Containers and text blocks of a page, in page order; container 0 is the root."""
 
     def __init__(self, source: str):
-        self.parent, self.path, self.tag, self.aside = [-1], [0], ["root"], [False]
+        self.parent, self.path, self.tag = [-1], [0], ["root"]
+        self.hard, self.word, self.inner = [False], [False], [False]  # asides by tag or style, by a word, in an article
         self.written = ["root"]  # tags as they are closed; ``tag`` follows the role
         self.blocks: list[tuple[int, str]] = []  # container, text
         self.headed = [False]  # a heading stands right in the container
+        self.titles = [0]  # first-rank headings, articles and main parts in the container
         self.own, self.linked = [0], [0]  # code points of text right in the container, and in links
         self._cut(source)
         self._sum()
@@ -91,14 +107,17 @@ class Page:
         self.path.append(xxhash.xxh64_intdigest(step.encode("utf-8", "replace")) >> 1)
         self.written.append(tag)
         self.tag.append("main" if named.get("role", "").lower() == "main" else tag)
-        self.aside.append(self.aside[at] or self._is_aside(tag, named, attrs))
+        self.hard.append(self.hard[at] or self._is_hard(tag, named, attrs))
+        self.word.append(self._is_word(tag, named))
+        self.inner.append(self._is_inner(tag, named))
         self.headed.append(False)
+        self.titles.append(int(self.tag[-1] in ("article", "main") and not self.word[-1]))
         self.own.append(0)
         self.linked.append(0)
         return len(self.parent) - 1
 
     @staticmethod
-    def _is_aside(tag: str, named: dict[str, str], attrs: str) -> bool:
+    def _is_hard(tag: str, named: dict[str, str], attrs: str) -> bool:
         if tag in NEVER_ASIDE:
             return False
         if tag in ASIDE_TAGS:
@@ -106,9 +125,13 @@ class Page:
         if not named and "hidden" not in attrs:
             return False
         style = named.get("style", "").replace(" ", "").lower()
-        if "display:none" in style or named.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs):
-            return True
-        if named.get("role", "").lower() == "main":
+        return bool(
+            "display:none" in style or named.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs)
+        )
+
+    @staticmethod
+    def _is_word(tag: str, named: dict[str, str]) -> bool:
+        if tag in NEVER_ASIDE or named.get("role", "").lower() == "main":
             return False
         for name in ("class", "id", "role"):
             for token in named.get(name, "").split():
@@ -120,11 +143,17 @@ class Page:
                     return True
         return False
 
+    @staticmethod
+    def _is_inner(tag: str, named: dict[str, str]) -> bool:
+        if not INSIDE_CLASSES.isdisjoint(named.get("class", "").lower().split()):
+            return True
+        return tag != "section" and named.get("id", "").lower() in INSIDE_IDS
+
     def _cut(self, source: str) -> None:
         stack, at, links = [0], 0, 0
         open_: dict[str, int] = {}
         parts: list[str] = []
-        in_links, heading, here = 0, False, 0
+        in_links, heading, title, here = 0, False, False, 0
 
         def flush() -> None:
             nonlocal in_links
@@ -137,6 +166,7 @@ class Page:
                     self.own[where] += len(text)
                     self.linked[where] += min(in_links, len(text))
                     self.headed[where] |= heading
+                    self.titles[where] += title
             in_links = 0
 
         last = source.rfind(">") + 1  # no tag ends after it
@@ -162,6 +192,7 @@ class Page:
             flush()
             links = 0 if tag in CONTAINERS else links
             heading = tag in HEADINGS and not closing
+            title = tag == "h1" and not closing
             if tag not in CONTAINERS:
                 continue
             if not closing:
@@ -182,21 +213,47 @@ class Page:
         flush()
 
     def _sum(self) -> None:
-        """Text in each container and what it holds, without asides; menus are asides from here on."""
-        whole, linked = list(self.own), list(self.linked)
+        """Text in each container and what it holds, without asides."""
+        whole, linked, open_ = list(self.own), list(self.linked), list(self.own)
+        titles = list(self.titles)
         for i in range(len(self.parent) - 1, 0, -1):
-            whole[self.parent[i]] += whole[i]
-            linked[self.parent[i]] += linked[i]
-        article = [False] * len(self.parent)
+            at = self.parent[i]
+            whole[at] += whole[i]
+            linked[at] += linked[i]
+            if self.hard[i]:
+                open_[i] = titles[i] = 0
+            open_[at] += open_[i]
+            titles[at] += titles[i]
+        #: Text without that of asides by tag or style, whatever their names.
+        self.open = open_
+        self.menu = [False] * len(self.parent)
+        self.spared = [False] * len(self.parent)
         for i in range(1, len(self.parent)):
-            article[i] = self.tag[i] == "article" or article[self.parent[i]]
-            menu = not article[i] and self.tag[i] not in NEVER_ASIDE and whole[i] > 0
-            menu = menu and linked[i] >= LINKS * whole[i]
-            self.aside[i] = self.aside[i] or self.aside[self.parent[i]] or menu
+            self.menu[i] = self.tag[i] not in NEVER_ASIDE and whole[i] > 0 and linked[i] >= LINKS * whole[i]
+            least = MOST if titles[i] else 1.0 if titles[0] else UNTITLED
+            self.spared[i] = open_[i] > 0 and open_[i] >= least * open_[0]
+        self.aside = self._asides(set())
         self.text = [0 if aside else n for aside, n in zip(self.aside, self.own, strict=True)]
         for i in range(len(self.parent) - 1, 0, -1):
             self.text[self.parent[i]] += self.text[i]
 
+    def _asides(self, roots: set[int]) -> list[bool]:
+        """Whether each container is, or stands in, an aside when the page is extracted from ``roots``."""
+        above = set()
+        for i in roots:
+            while i > 0 and i not in above:
+                above.add(i)
+                i = self.parent[i]
+        out, article, chosen = [False], [False], [False]
+        for i in range(1, len(self.parent)):
+            at = self.parent[i]
+            article.append(article[at] or self.tag[i] == "article")
+            chosen.append(chosen[at] or (i in roots and self.tag[i] not in WIDE))
+            named = self.inner[i] if article[at] and self.tag[i] != "article" else self.word[i] and not self.spared[i]
+            menu = self.menu[i] and not article[i] and not chosen[i]
+            out.append(out[at] or self.hard[i] or (i not in above and (named or menu)))
+        return out
+
     def best(self) -> int:
         """The container that the page alone would be extracted from."""
         if not self.text[0]:
@@ -224,10 +281,16 @@ class Page:
         inside = [i in roots for i in range(len(self.parent))]
         for i in range(1, len(inside)):
             inside[i] |= inside[self.parent[i]]
-        return " ".join(text for where, text in self.blocks if inside[where] and not self.aside[where])
+        aside = self._asides(roots)
+        return " ".join(text for where, text in self.blocks if inside[where] and not aside[where])
 
     def on_path(self, path: int) -> set[int]:
-        return {i for i, p in enumerate(self.path) if p == path and self.text[i]}
+        here = [i for i, p in enumerate(self.path) if p == path]
+        found = {i for i in here if self.text[i]}
+        if found:
+            return found
+        # Asides by name alone that hold more than all that is left.
+        return {i for i in here if not self.hard[i] and self.open[i] > self.text[0]}
 
 
 def host() -> Column:

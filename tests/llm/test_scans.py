@@ -327,6 +327,36 @@ def test_main_text():
         assert page.extract({page.best()}) == (TEXT + " last" if name == "unclosed" else TEXT), name
 
 
+LINKS = "<ul><li><a href=1>first link of the list</a></li><li><a href=2>second link</a></li></ul>"
+NAMED = {
+    "wrapper": f"<body><div class='layout has-sidebar'><div>{ARTICLE}</div><div class='sidebar'>side side</div></div>",
+    "with": f"<body><div class='with-sidebar'>{ARTICLE}<div class='comments'>{'mine! ' * 40}</div></div><div id='topMenu'>m</div>",
+    "untitled": f"<body><div id='search'>{ARTICLE.replace('h1', 'b')}</div>",
+    "sections": "<article><h1>T &amp; U</h1><section id='discussion'>one twothree four</section><div class='alert'>five six</div>"
+    "<section id='related-work'>seven eight</section><div id='search'>nine ten</div><div class='comments'>mine!</div></article>",
+    "links in main": f"<nav>menu</nav><main>{ARTICLE}{LINKS}</main><ul><li><a>home</a></li></ul>",
+    "links in a div": f"<div id='topMenu'>m</div><div class='post'>{ARTICLE}{LINKS}</div><ul><li><a>home</a></li></ul>",
+}
+
+
+@pytest.mark.parametrize("name", sorted(NAMED))
+def test_names_do_not_outvote_scores(name):
+    page = html_main.Page(NAMED[name])
+    want = TEXT + " first link of the list second link" if "links" in name else TEXT
+    assert page.extract({page.best()}) == want
+
+
+def test_long_comments_stay_asides():
+    page = html_main.Page(f"<div class='post'>{ARTICLE}</div><div class='comments-area'><h2>Replies</h2>{'mine! ' * 400}</div>")
+    assert page.extract({page.best()}) == TEXT
+
+
+def test_named_container_on_the_winning_path():
+    page = html_main.Page(f"<h1>Shop</h1><div class='x'>few</div><div class='c' id='search'>{ARTICLE.replace('h1', 'p')}</div>")
+    path = html_main.Page(f"<div class='c'>{ARTICLE}</div>").path[1]
+    assert page.extract(page.on_path(path)) == TEXT
+
+
 def test_consensus_of_the_host(spark):
     good = "<body><div class='c9'>{}</div><div class='x'>{}</div>"
     long, short = "<p>" + "main words " * 20 + "</p>", "<p>few</p>"
