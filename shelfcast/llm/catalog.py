@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     decontaminate,
+    embedding_dedup,
     exact_dedup,
     html_main,
     language,
+    lexical,
     licenses,
     packing,
     pii,
     simhash,
     token_file,
     toxicity,
+    whitening,
 )
 from shelfcast.llm.common import fold, table
 
@@ -74,6 +77,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that fit each benchmark item best."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_pii,
@@ -86,6 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_file,
         op9_exact_dedup,
         op10_language_id,
+        op11_whitening,
+        op12_lexical_search,
+        op13_embedding_dedup,
     )
     return {f.__name__: f for f in every}
 
@@ -102,4 +121,57 @@ def oracle_sql() -> dict[str, str]:
                 first_value(doc_id) OVER best = doc_id AS kept, h AS text_sha256
             FROM t WINDOW best AS (PARTITION BY h ORDER BY n DESC, doc_id)
         """,
+        "op12_lexical_search": r"""
+            WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+            t AS (
+                SELECT r, doc_id, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM d
+            ),
+            q AS (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT DISTINCT item_id, text FROM benchmark)
+            ),
+            tf AS (SELECT r, doc_id, term, count(*)::BIGINT AS tf FROM t GROUP BY r, doc_id, term),
+            n AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+            s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+            m AS (SELECT r, 75 + (25 * n * docs) // terms AS m FROM n, s),
+            w AS (
+                SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                FROM tf, s GROUP BY term
+            ),
+            f AS (
+                SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+                FROM (SELECT item_id, term, count(*) AS times FROM q GROUP BY item_id, term)
+                JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r)
+                GROUP BY item_id, r, doc_id
+            ),
+            o AS (
+                SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place FROM f
+                WHERE score > 0
+            )
+            SELECT item_id, place::INTEGER AS rank, doc_id, score FROM o WHERE place <= 20
+        """,
+        "op13_embedding_dedup": """
+            WITH RECURSIVE v AS (
+                SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            ),
+            u AS (
+                SELECT r, e FROM v
+                WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+            ),
+            l AS (
+                SELECT a.r AS x, b.r AS y FROM u a JOIN u b ON a.r <> b.r AND len(a.e) = len(b.e)
+                WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+            ),
+            reach AS (SELECT r, r AS at FROM v UNION SELECT reach.r, l.y FROM reach JOIN l ON reach.at = l.x),
+            c AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.at GROUP BY reach.r),
+            n AS (SELECT x AS r, count(*) AS n FROM l GROUP BY x)
+            SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id,
+                vec_id IS NOT DISTINCT FROM component_id AS kept
+            FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+        """,
     }

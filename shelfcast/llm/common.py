@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from typing import TYPE_CHECKING
 
@@ -227,7 +228,28 @@ class Coder:
             yield begin, ids[at], ends[place[begin : last + 1] - place[begin]]
 
 
-@functools.lru_cache(maxsize=2)
+def once_a_process(limit: int) -> Callable:
+    """Remembers the last ``limit`` results, like ``functools.lru_cache``, in a worker process across its tasks.
+
+    Every task gets a copy of its own of this package's functions, so what they share is kept in ``sys``, by name.
+    """
+
+    def wrap(make: Callable) -> Callable:
+        @functools.wraps(make)
+        def get(*key):
+            results = vars(sys).setdefault("shelfcast_kept", {}).setdefault(make.__qualname__, {})
+            result = results.pop(key) if key in results else make(*key)
+            while len(results) >= limit:
+                del results[next(iter(results))]
+            results[key] = result
+            return result
+
+        return get
+
+    return wrap
+
+
+@once_a_process(2)
 def coder(path: str) -> Coder:
     """One coder for each worker process."""
     return Coder(path)

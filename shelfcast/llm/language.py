@@ -14,7 +14,6 @@ without a language do not train; an empty table gives no rows.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
@@ -22,7 +21,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import filter_texts, fold, smallest_hashes, texts, vocabulary_path
+from shelfcast.llm.common import filter_texts, fold, once_a_process, smallest_hashes, texts, vocabulary_path
 from shelfcast.session import materialise
 
 if TYPE_CHECKING:
@@ -176,7 +175,7 @@ def fit(words: list[str], counts, pieces: Pieces, rounds: int = ROUNDS):
     return weights
 
 
-@functools.lru_cache(maxsize=2)
+@once_a_process(2)
 def _pieces(path: str, longest: int) -> Pieces:
     return Pieces(path, longest)
 

@@ -20,7 +20,6 @@ id stand together, by text, and are told apart by ``occurrence`` from 0; an empt
 
 from __future__ import annotations
 
-import functools
 import io
 import uuid
 import zlib
@@ -29,7 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import coder, texts, vocabulary_path
+from shelfcast.llm.common import coder, once_a_process, texts, vocabulary_path
 from shelfcast.session import materialise, scratch_dir
 
 VOCABULARY = "word_bpe_49k.json"
@@ -152,7 +151,7 @@ class IndexPart:
         return known, self.entries[np.where(known, number, 0)] if len(self.entries) else self.entries
 
 
-@functools.lru_cache(maxsize=4)
+@once_a_process(4)
 def _open_part(folder: str, part: int) -> IndexPart | None:
     import numpy as np
     from pyarrow.fs import FileType
