@@ -44,7 +44,8 @@ CELLS = 1 << 24  # bits of a block
 SEED = 42
 ITEMS = 10_000  # searched at a time
 CHUNK = 128  # items whose bounds are held at a time
-READ = 1000  # texts read at a time
+READ = 300  # texts read at a time
+SLICE = 1 << 15  # entries of filters made at a time
 WORDS = 1 << 16  # of the bitmap that texts must pass to be rescored
 _LEVEL_SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,26 +90,49 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], np.uint64)
 
 
-def probes(hashed: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
+def probes(hashed: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int) -> np.ndarray:
     """The places of an entry in a filter, a row for each entry."""
     mixed = hashed ^ (np.asarray(level, np.uint64) * _LEVEL_SALT)
     mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
     first, step = mixed & np.uint64(0xFFFFFFFF), (mixed >> np.uint64(32)) | np.uint64(1)
-    return ((first[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None]) % np.uint64(bits)).astype(np.int64)
+    return ((first[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None]) % np.atleast_1d(bits).astype(np.uint64)[:, None]).astype(np.int64)
 
 
 def filter_bits(entries: int) -> int:
-    """Bits of the filter for so many entries: the next of the sizes."""
+    """Bits of the filter for so many entries: the next of the sizes, whole bytes."""
     wanted = min(LARGEST, BITS * max(entries, 4))
-    return math.ceil(STEP ** math.ceil(math.log(wanted, STEP) - 1e-9))
+    return -(-math.ceil(STEP ** math.ceil(math.log(wanted, STEP) - 1e-9)) // 8) * 8
+
+
+def signatures(owner: np.ndarray, hashed: np.ndarray, times: np.ndarray, texts: int) -> tuple[list[int], list[bytes]]:
+    """Bits of each text's filter, and the filter; of the hash and occurrences of each term a text holds."""
+    sizes = sum(np.bincount(owner[times >= least], minlength=texts) for least in LEVELS)
+    bits = np.array([filter_bits(int(n)) for n in sizes], np.int64)
+    ends = np.cumsum(bits)
+    starts = ends - bits
+    flat = np.zeros(ends[-1] if texts else 0, bool)
+    for level, least in enumerate(LEVELS):
+        some = np.flatnonzero(times >= least)
+        for begin in range(0, len(some), SLICE):
+            part = some[begin : begin + SLICE]
+            of = owner[part]
+            flat[starts[of][:, None] + probes(hashed[part], level, bits[of])] = True
+    packed = np.packbits(flat, bitorder="little").tobytes()
+    return bits.tolist(), [packed[a // 8 : b // 8] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 class Block:
     """Documents of one filter size, as they come in."""
 
     def __init__(self, bits: int):
-        self.bits, self.ids, self.prints, self.lengths, self.entries = bits, [], [], [], []
+        self.bits, self.ids, self.prints, self.lengths, self.filters = bits, [], [], [], []
+
+    def add(self, doc, print_: int, length: int, filter_: bytes) -> None:
+        self.ids.append(doc)
+        self.prints.append(print_)
+        self.lengths.append(length)
+        self.filters.append(filter_)
 
     def full(self) -> bool:
         return len(self.ids) >= BLOCK or len(self.ids) * self.bits >= CELLS
@@ -116,18 +140,16 @@ class Block:
     def row(self, kind) -> list:
         import pyarrow as pa
 
-        places = np.zeros((self.bits, -(-len(self.ids) // 8) * 8), bool)
-        for i, entries in enumerate(self.entries):
-            places[entries, i] = True
-        sizes = np.array(self.lengths, np.int64)
+        filters = np.frombuffer(b"".join(self.filters), np.uint8).reshape(len(self.ids), -1)
+        places = np.unpackbits(filters, axis=1, bitorder="little").T
         return [
             pa.array([self.ids], pa.list_(kind)),
             pa.array([self.prints], pa.list_(pa.int64())),
-            pa.array([sizes]),
+            pa.array([self.lengths], pa.list_(pa.int64())),
             pa.array([self.bits], pa.int32()),
             pa.array([np.packbits(places, axis=1, bitorder="little").tobytes()], pa.binary()),
-            pa.array([len(sizes)], pa.int64()),
-            pa.array([int(sizes.sum())], pa.int64()),
+            pa.array([len(self.ids)], pa.int64()),
+            pa.array([sum(self.lengths)], pa.int64()),
         ]
 
 
@@ -147,24 +169,14 @@ def build_index(docs: DataFrame) -> DataFrame:
             for begin in range(0, whole.num_rows, READ):
                 part = whole.slice(begin, READ)
                 words, owner, code, times, lengths = counted(part.column(1))
-                hashed = hashes(words)
-                ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                rows = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                for i, (doc, text) in enumerate(rows):
-                    if not lengths[i]:
-                        continue
-                    of, often = hashed[code[ends[i] : ends[i + 1]]], times[ends[i] : ends[i + 1]]
-                    entries = [(of[often >= least], level) for level, least in enumerate(LEVELS)]
-                    bits = filter_bits(sum(len(found) for found, _ in entries))
-                    block = open_.setdefault(bits, Block(bits))
-                    places = np.concatenate([probes(found, level, bits).ravel() for found, level in entries])
-                    block.ids.append(doc)
-                    block.prints.append(xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), SEED))
-                    block.prints[-1] -= (block.prints[-1] >> 63) << 64
-                    block.lengths.append(int(lengths[i]))
-                    block.entries.append(np.unique(places).astype(np.int32))
-                    if block.full():
-                        yield pa.RecordBatch.from_arrays(open_.pop(bits).row(kind), names)
+                bits, filters = signatures(owner, hashes(words)[code], times, part.num_rows)
+                for i, (doc, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
+                    if lengths[i]:
+                        block = open_.setdefault(bits[i], Block(bits[i]))
+                        print_ = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), SEED)
+                        block.add(doc, print_ - ((print_ >> 63) << 64), int(lengths[i]), filters[i])
+                        if block.full():
+                            yield pa.RecordBatch.from_arrays(open_.pop(bits[i]).row(kind), names)
         for block in open_.values():
             yield pa.RecordBatch.from_arrays(block.row(kind), names)
 

@@ -94,7 +94,7 @@ def test_counts_equal_the_pattern(texts):
     assert lengths.tolist() == [len(terms(t)) for t in texts]
 
 
-def test_bounds_are_never_too_low(corpus):
+def test_bounds_are_never_too_low(corpus, monkeypatch):
     """Of every document, and equal to its score where the filter is empty enough and counts are at a level's end."""
     queries = lexical.Queries.of([(i, [t]) for i, t, _ in corpus if t])
     docs = [Counter(lexical.terms_of(t)) for _, t, _ in corpus]
@@ -102,17 +102,13 @@ def test_bounds_are_never_too_low(corpus):
     lengths = np.array([sum(c.values()) for c in docs])
     held = Counter(t for c in docs for t in c)
     queries.weigh(len(docs), int(lengths.sum()), np.array([held[t] for t in queries.terms]))
+    monkeypatch.setattr(lexical, "filter_bits", lambda entries: 4096)
+    found = [(d, t, n) for d, c in enumerate(docs) for t, n in c.items()]
+    owner, times = (np.array([f[k] for f in found]) for k in (0, 2))
+    _, filters = lexical.signatures(owner, lexical.hashes([f[1] for f in found]), times, len(docs))
     block = lexical.Block(4096)
-    for c, n in zip(docs, lengths):
-        block.ids.append(0)
-        block.prints.append(0)
-        block.lengths.append(int(n))
-        places = []
-        for level, least in enumerate(lexical.LEVELS):
-            found = [t for t, k in c.items() if k >= least]
-            if found:
-                places.append(lexical.probes(lexical.hashes(found), level, 4096).ravel())
-        block.entries.append(np.unique(np.concatenate(places)))
+    for n, filter_ in zip(lengths.tolist(), filters, strict=True):
+        block.add(0, 0, n, filter_)
     row = block.row(pa.int64())
     bounds = np.vstack([b for _, b in queries.bounds(4096, row[4][0].as_buffer(), lengths)])
     for d, c in enumerate(docs):
