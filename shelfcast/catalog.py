@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shelfcast import fixed_values as fixed
 from shelfcast.fixed_values import Rule
 from shelfcast.functions import calendar, metrics
-from shelfcast.models import additive, design, search, tweedie
+from shelfcast.models import additive, boosting, design, search, tweedie
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
 from shelfcast.sources import canonicalise, promotions_from_star, sales_from_star
@@ -778,6 +778,26 @@ def tweedie_optimum(spark, sf):
     return found.select("parameter", F.round("score", 4).alias("score"))
 
 
+@query
+def boosting_histogram(spark, sf):
+    """Sums of the first level of the first tree: gradients and hessians by feature and bin."""
+    cfg = tweedie.TweedieConfig(train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31))
+    known = clean.split_by_date(_series(spark, sf), TRAIN_END, "ds")[0]
+    wide, names = boosting.features(known, known, cfg, SERIES_KEYS)
+    bins = boosting.binned(wide, names, boosting.cut_points(wide, names))
+    marked = wide.select(F.lit(0).alias("model"), F.lit(True).alias("train"), bins.alias("bins"), "y")
+    state = boosting.cells(marked).withColumn("margin", F.log(known.agg(F.avg("y")).scalar()))
+    sums = boosting.histogram(state, cfg.power, F.lit(0))
+    named = F.get(F.array(*[F.lit(n) for n in names]), F.col("feature"))
+    return sums.select(named.alias("feature"), "bin", F.round("g", 4).alias("g"), F.round("h", 4).alias("h"))
+
+
+@query
+def boosted_forecast(spark, sf):
+    cfg = tweedie.TweedieConfig(train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31))
+    return boosting.boosted_forecast(_series(spark, sf), cfg, run_date=RUN_DATE)
+
+
 @query
 def tag_split(spark, sf):
     tagged = tweedie.tag_split(_series(spark, sf), TRAIN_END, dt.date(2001, 8, 31))

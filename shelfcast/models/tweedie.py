@@ -11,6 +11,7 @@ import datetime as dt
 import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
@@ -38,7 +39,11 @@ from shelfcast.session import materialise
 
 # What the random search draws from: the strength of the ridge. None is zero, so every fit has one answer.
 RIDGE = tuple(10.0 ** (e / 2) for e in range(-10, 1))
-MOST_ITERATIONS = 100  # a fit that takes more is an error
+MOST_ITERATIONS = 25  # a fit that takes more has not settled
+# Of the coefficients, where iterations end.  Each squares the error, so the last leaves far less than this; a smaller
+# one would be below the rounding of sums over many rows, whose order is left to the tasks.
+TOLERANCE = 1e-8
+FITS_AT_ONCE = 4
 SAME = 1e-9  # share of a feature's variance that others must leave unexplained for it to be kept
 
 
@@ -129,6 +134,10 @@ def assembled(wide: DataFrame, names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error").transform(wide)
 
 
+class NotSettled(ArithmeticError):
+    """A fit that has not settled within ``MOST_ITERATIONS``."""
+
+
 def _fit(train: DataFrame, cfg: TweedieConfig, ridge: float) -> GeneralizedLinearRegressionModel:
     model = GeneralizedLinearRegression(
         family="tweedie",
@@ -136,22 +145,22 @@ def _fit(train: DataFrame, cfg: TweedieConfig, ridge: float) -> GeneralizedLinea
         linkPower=0.0,
         regParam=ridge,
         maxIter=MOST_ITERATIONS,
-        tol=1e-10,
+        tol=TOLERANCE,
         labelCol="y",
         predictionCol="y_prediction",
     ).fit(train.select("features", "y"))
     if model.summary.numIterations >= MOST_ITERATIONS:
-        raise ArithmeticError(f"the fit with ridge {ridge} has not settled")
+        raise NotSettled(f"the fit with ridge {ridge} has not settled")
     return model
 
 
 def search(
     train: DataFrame, cfg: TweedieConfig, keys: Sequence[str] = ("store", "business_unit")
 ) -> list[tuple[float, float]]:
-    """Cross-validated (rmse, ridge) of every draw, best first.
+    """Cross-validated (rmse, ridge) of every draw, best first; a draw with a fit that does not settle comes last.
 
-    The folds are written once; one of them is held in memory at a time, for all draws. The loop is over
-    the handful of draws and folds; each fit and score in it is a distributed job.
+    The folds are written once; one of them is held in memory at a time, for all draws, of which a few are fitted
+    at once. The loop is over the handful of draws and folds; each fit and score in it is a distributed job.
     """
     tagged = materialise(time_series_folds(train, cfg.folds, keys))
     squares = dict.fromkeys(draws(cfg), 0.0)
@@ -162,14 +171,21 @@ def search(
         wide = materialise(wide.select("y", "role", *names))
         wide = assembled(wide, independent(wide.filter("role = 'train'"), names))
         wide = wide.select("y", "role", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            known, asked = wide.filter("role = 'train'"), wide.filter("role = 'test'")
-            for ridge in squares:
-                gap = F.col("y") - F.col("y_prediction")
+        known, asked = wide.filter("role = 'train'"), wide.filter("role = 'test'")
+
+        def lost(ridge: float) -> float:
+            gap = F.col("y") - F.col("y_prediction")
+            try:
                 scored = _fit(known, cfg, ridge).transform(asked)
-                found = scored.agg(F.sum(gap * gap).alias("s"), F.count(gap).alias("n")).first()
-                squares[ridge] += found["s"] or 0.0
-            tested += found["n"]
+            except NotSettled:
+                return math.inf
+            return scored.agg(F.sum(gap * gap)).first()[0] or 0.0
+
+        try:
+            tested += asked.count()  # the first action, so that the rows are held once
+            with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+                for ridge, found in zip(squares, list(pool.map(lost, squares)), strict=True):
+                    squares[ridge] += found
         finally:
             wide.unpersist()
     return sorted((math.sqrt(s / max(tested, 1)), ridge) for ridge, s in squares.items())

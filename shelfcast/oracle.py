@@ -676,6 +676,24 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             SELECT store, business_unit, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round(sum(z[i + 1] * z[j + 1]), 4) AS total, count(*) AS n
             FROM z CROSS JOIN (SELECT unnest(range(0, 10)) AS i) a
             JOIN (SELECT unnest(range(0, 10)) AS j) b ON b.j >= a.i GROUP BY ALL""",
+        "boosting_histogram": f"""{series}, known AS (SELECT * FROM series WHERE ds <= DATE '2001-09-30'),
+            wide AS (
+              SELECT y, black_week, year(ds) AS year, month(ds) AS month,
+                avg(y) OVER (PARTITION BY store) AS s, avg(y) OVER (PARTITION BY business_unit) AS b FROM known),
+            numbered AS (
+              SELECT y, dense_rank() OVER (ORDER BY s) - 1 AS store_level,
+                dense_rank() OVER (ORDER BY b) - 1 AS business_unit_level, black_week,
+                0 AS corona_lockdown, dense_rank() OVER (ORDER BY year) - 1 AS year, month - 1 AS month FROM wide),
+            parts AS (
+              UNPIVOT (SELECT y, store_level::BIGINT AS store_level, business_unit_level::BIGINT AS business_unit_level,
+                black_week::BIGINT AS black_week, corona_lockdown::BIGINT AS corona_lockdown, year::BIGINT AS year,
+                month::BIGINT AS month FROM numbered)
+              ON store_level, business_unit_level, black_week, corona_lockdown, year, month
+              INTO NAME feature VALUE bin),
+            m AS (SELECT avg(y) AS m FROM known)
+            SELECT feature, CAST(bin AS INT) AS bin, round(sum(pow(m, 0.9) - y * pow(m, -0.1)), 4) AS g,
+              round(sum(0.9 * pow(m, 0.9) + 0.1 * y * pow(m, -0.1)), 4) AS h
+            FROM parts, m GROUP BY feature, bin""",
         "tag_split": f"""{series} SELECT store, CAST(ds <= DATE '2001-09-30' AS INT) AS is_train,
             CAST(ds <= DATE '2001-09-30' AND ds > DATE '2001-08-31' AS INT) AS is_valid,
             CAST(ds > DATE '2001-09-30' AS INT) AS is_predict, count(*) AS n_rows,
