@@ -54,11 +54,17 @@ def main() -> None:
     queries = catalog.queries()
     # Start the JVM's and the workers' engines before the clock does.
     catalog.sales_from_star(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    spent = {}
+    spent, failed = {}, {}
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as error:  # the other queries are timed all the same
+            failed[name] = f"{type(error).__name__}: {error}"[:300]
+            print(f"{name}: {failed[name]}", file=sys.stderr, flush=True)
+            continue
         spent[name] = round(time.perf_counter() - start, 3)
+        print(f"{name}: {spent[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
@@ -67,10 +73,12 @@ def main() -> None:
                 "unit": "sec",
                 "queries": spent,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+                **({"failed": failed} if failed else {}),
             }
         )
     )
     spark.stop()
+    sys.exit(bool(failed))
 
 
 if __name__ == "__main__":
