@@ -67,6 +67,12 @@ def luhn(digits: str) -> bool:
     return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
 
 
+def _small(part: str) -> bool:
+    """Whether a run of digits, however long, is at most 255."""
+    digits = part.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if c in "0123456789")
 
@@ -77,7 +83,7 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return found
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        if all(_small(part) for part in match[0].split(".")):
             found.append(("ip", *match.span()))
     for match in _CARD.finditer(text):
         if match.end() - match.start() >= 16:
