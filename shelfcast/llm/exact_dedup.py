@@ -4,8 +4,8 @@ Texts are equal when they are identical without white space.  New data is groupe
 index in a sort-merge anti-join, and the digests that the index lacks are appended to it.  Only ids, digests and
 lengths are shuffled, never texts.
 
-Defined cases: a null text is the empty text; rows of one id and one digest are one document, counted as often
-as they come; the longest original stays, then the smallest id, a null id last; an empty table gives no rows.
+Defined cases: a null text is the empty text; the longest original stays, then the smallest id, a null id last; rows of
+one id and one digest are returned each, and one of them stays if their id does; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,16 +36,18 @@ class DigestIndex:
 
     The index is a table under ``path``, in ``buckets`` files sorted by digest for each append (default: as many
     as the session's shuffles have partitions).  A session that opens the same path with as many buckets sees what
-    earlier ones appended.
+    earlier ones appended.  ``kind`` is the type of the ids.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+    def __init__(
+        self, spark: SparkSession, path: str | None = None, buckets: int | None = None, kind: str = "BIGINT"
+    ):
         self.spark = spark
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = path or f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id {kind}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
         )
 
@@ -89,12 +91,18 @@ class DigestIndex:
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """One row for each document, dropped ones too, with the id that stays for its text."""
-    index = index or DigestIndex(docs.sparkSession)
-    return index.ingest(docs).withColumn("text_sha256", F.lower(F.hex("digest")))
+    index = index or DigestIndex(docs.sparkSession, kind=docs.schema["doc_id"].dataType.simpleString())
+    decided = index.ingest(docs).withColumn("text_sha256", F.lower(F.hex("digest")))
+    # Rows that share id and digest come back each, some at a time, so that no array grows with their number.
+    last = F.col("copies") - 1
+    spread = decided.withColumn("hundreds", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(100).cast("long"))))
+    first = F.col("hundreds")
+    spread = spread.withColumn("copy", F.explode(F.sequence(first, F.least(first + 99, last))))
+    return spread.withColumn("kept", F.col("kept") & (F.col("copy") == 0)).drop("hundreds", "copy", "copies")
 
 
 def keep_first_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """Rows of ``docs`` that stay, one for each text, with all their columns."""
-    index = index or DigestIndex(docs.sparkSession)
+    index = index or DigestIndex(docs.sparkSession, kind=docs.schema["doc_id"].dataType.simpleString())
     decisions = index.ingest(docs).withColumnRenamed("digest", "key")
     return keep_rows(docs, decisions, digest(docs))

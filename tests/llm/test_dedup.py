@@ -29,11 +29,11 @@ def test_exact_dedup_equals_brute_force(docs, corpus):
     for i, text, _ in corpus:
         groups.setdefault(digest(text), []).append((-len(text or ""), order(i), i))
     want = Counter(
-        (i, min(groups[digest(t)])[2], len(groups[digest(t)]), digest(t)) for i, t in {(i, t) for i, t, _ in corpus}
+        (i, min(groups[digest(t)])[2], len(groups[digest(t)]), digest(t)) for i, t, _ in corpus
     )
     got = exact_dedup.exact_dedup(docs).collect()
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
-    assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
     assert Counter(r.text_sha256 for r in got if r.kept) == Counter(set(groups))
 
 
@@ -44,6 +44,21 @@ def test_exact_dedup_keeps_one_row_each_with_all_columns(docs, corpus):
     assert Counter(map(digest, texts)) == Counter({digest(t) for _, t, _ in corpus})
 
 
+def test_repeated_rows_come_back_each(spark):
+    """As the query's SQL has them."""
+    rows = [(1, "a b"), (1, "a b"), (2, "ab"), *[(7, "x")] * 450, (3, None), (4, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(frame).collect())
+    want = {(1, 1, 3, True): 1, (1, 1, 3, False): 1, (2, 1, 3, False): 1, (7, 7, 450, True): 1, (7, 7, 450, False): 449}
+    assert got == want | {(3, 3, 2, True): 1, (4, 3, 2, False): 1}
+
+
+def test_ids_may_be_texts(spark):
+    frame = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", "z")], "doc_id string, text string")
+    got = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.exact_dedup(frame).collect()}
+    assert got == {("b", "b", True), ("a", "b", False), ("c", "c", True)}
+
+
 def test_index_outlives_a_batch(spark, docs, tmp_path):
     path = f"file://{tmp_path}/index"
     first = exact_dedup.DigestIndex(spark, path, buckets=4)
