@@ -34,7 +34,7 @@ LINKS = 0.6  # of a container's text that stands in links of a menu
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|select|svg|object|canvas|video|audio|button)"
+    r"|<(?P<raw>script|style|noscript|textarea|title|iframe)"
     r"\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?:.*?</(?P=raw)\s*+>|.*\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>",
@@ -42,6 +42,7 @@ _TAG = re.compile(
 )
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
+_ZEROS, _LARGE = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{8,}")
 _NUMBER = re.compile(r"[0-9]+")
 
 CONTAINERS = frozenset(
@@ -70,12 +71,42 @@ INSIDE_CLASSES = frozenset(
     "cookie-banner".split()
 )
 INSIDE_IDS = frozenset("comments disqus_thread respond sidebar".split())
+#: Parts of a class or id that name an aside inside articles too, where it holds less than nearly all of the article, and no title.
+STRONG_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr sidebar comment "
+    "comments disqus newsletter breadcrumb breadcrumbs pagination popup modal".split()
+)
+NOTICES = frozenset("site-notice privacy-notice legal-notice".split())
+ROLES = frozenset("navigation complementary banner contentinfo search dialog alertdialog".split())
+#: Elements whose text is no text of the page, up to their end; without one, up to the next block.
+SILENT = frozenset("template select svg object canvas video audio button".split())
+#: Whole classes of blocks and of marked words that are asides.
+SMALL_CLASSES = frozenset("ad ads advert advert-label advertisement sponsored promo".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER_ASIDE = frozenset(["html", "body", "main"])
 WIDE = frozenset(["root", "html", "body"])  # hold menus too, even when chosen
 UNTITLED = 0.9  # of the text that a container with an aside's name holds where no title tells what the page is about
 HEADINGS = frozenset(["h1", "h2"])
 
 
+def decoded(text: str) -> str:
+    """With character references read; numbers of any length, beyond the last code point as U+FFFD."""
+    if "&#" in text:
+        text = _LARGE.sub("&#1114112", _ZEROS.sub("&#", text))
+    return entities.unescape(text)
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
+
+
+def _hidden(named: dict[str, str], attrs: str) -> bool:
+    style = named.get("style", "").replace(" ", "").lower()
+    return bool(
+        "display:none" in style or named.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs)
+    )
+
+
 def _open_ended(match: re.Match) -> bool:
     """Whether a comment or an element of raw text has no end."""
     if match["raw"]:
@@ -100,7 +131,7 @@ class Page:
     def _open(self, at: int, tag: str, attrs: str) -> int:
         import xxhash
 
-        named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
+        named = _attributes(attrs)
         classes = sorted({_NUMBER.sub("#", c) for c in named.get("class", "").lower().split()})
         step = f"{self.path[at]}/{tag}.{'.'.join(classes)}"
         self.parent.append(at)
@@ -124,10 +155,7 @@ class Page:
             return True
         if not named and "hidden" not in attrs:
             return False
-        style = named.get("style", "").replace(" ", "").lower()
-        return bool(
-            "display:none" in style or named.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", attrs)
-        )
+        return named.get("role", "").lower() in ROLES or _hidden(named, attrs)
 
     @staticmethod
     def _is_word(tag: str, named: dict[str, str]) -> bool:
@@ -145,20 +173,53 @@ class Page:
 
     @staticmethod
     def _is_inner(tag: str, named: dict[str, str]) -> bool:
-        if not INSIDE_CLASSES.isdisjoint(named.get("class", "").lower().split()):
+        tokens = [*named.get("class", "").lower().split(), *named.get("id", "").lower().split()]
+        if not INSIDE_CLASSES.isdisjoint(named.get("class", "").lower().split()) or not NOTICES.isdisjoint(tokens):
+            return True
+        if named.get("id", "").lower() in INSIDE_IDS:
             return True
-        return tag != "section" and named.get("id", "").lower() in INSIDE_IDS
+        return any(not STRONG_WORDS.isdisjoint(_CAMEL.split(token)) for token in tokens)
+
+    @staticmethod
+    def _is_silent(tag: str, attrs: str) -> bool:
+        """Whether the text of an element that is no container is left out."""
+        if tag in SILENT:
+            return True
+        if not attrs.strip() or tag in VOID:
+            return False
+        named = _attributes(attrs)
+        classes = named.get("class", "").lower().split()
+        if not SMALL_CLASSES.isdisjoint(classes) or (tag in ("li", "p", "dd") and "comment" in classes):
+            return True
+        return _hidden(named, attrs)
+
+    @staticmethod
+    def _ends(matches: list[re.Match]) -> dict[int, int]:
+        """For every opening tag that is closed, by the places of both among the tags."""
+        open_: dict[str, list[int]] = {}
+        ends = {}
+        for i, match in enumerate(matches):
+            tag = match["tag"] or match["tag2"]
+            if tag:
+                tag = tag.lower()
+                if not (match["close"] or match["close2"]):
+                    open_.setdefault(tag, []).append(i)
+                elif open_.get(tag):
+                    ends[open_[tag].pop()] = i
+        return ends
 
     def _cut(self, source: str) -> None:
         stack, at, links = [0], 0, 0
         open_: dict[str, int] = {}
         parts: list[str] = []
         in_links, heading, title, here = 0, False, False, 0
+        silent: list[tuple[int, int]] = []  # containers open round each silent element, and its last tag
+        unclosed = False  # in a silent element without an end
 
         def flush() -> None:
             nonlocal in_links
             if parts:
-                text = " ".join(entities.unescape("".join(parts)).split())
+                text = " ".join(decoded("".join(parts)).split())
                 parts.clear()
                 if text:
                     where = stack[-1]
@@ -170,8 +231,10 @@ class Page:
             in_links = 0
 
         last = source.rfind(">") + 1  # no tag ends after it
-        for match in _TAG.finditer(source, 0, last):
-            if match.start() > here:
+        matches = list(_TAG.finditer(source, 0, last))
+        ends = self._ends(matches)
+        for place, match in enumerate(matches):
+            if match.start() > here and not silent and not unclosed:
                 piece = source[here : match.start()]
                 parts.append(piece)
                 if links:
@@ -184,6 +247,16 @@ class Page:
                 continue
             tag = tag.lower()
             closing = bool(match["close"] or match["close2"])
+            attrs = match["attrs"] or match["attrs2"] or ""
+            while silent and place >= silent[-1][1]:
+                silent.pop()
+            if tag in BLOCKS:
+                unclosed = False
+            if not closing and tag not in CONTAINERS and self._is_silent(tag, attrs) and not attrs.endswith("/"):
+                if place in ends:
+                    silent.append((len(stack), ends[place]))
+                else:
+                    unclosed = True
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
                 continue
@@ -198,17 +271,19 @@ class Page:
             if not closing:
                 if (tag in ("html", "body") and open_.get(tag)) or (match["attrs"] or "").endswith("/"):
                     continue
-                at = self._open(stack[-1], tag, match["attrs"] or match["attrs2"] or "")
+                at = self._open(stack[-1], tag, attrs)
                 stack.append(at)
                 open_[tag] = open_.get(tag, 0) + 1
             elif open_.get(tag):
                 while True:
-                    last = stack.pop()
-                    name = self.written[last]
+                    gone = stack.pop()
+                    name = self.written[gone]
                     open_[name] -= 1
                     if name == tag:
                         break
-        if here < len(source):
+                while silent and silent[-1][0] > len(stack):
+                    silent.pop()
+        if here < len(source) and not silent and not unclosed:
             parts.append(source[here:])
         flush()
 
@@ -226,6 +301,7 @@ class Page:
             titles[at] += titles[i]
         #: Text without that of asides by tag or style, whatever their names.
         self.open = open_
+        self.titled = [n > 0 for n in titles]
         self.menu = [False] * len(self.parent)
         self.spared = [False] * len(self.parent)
         for i in range(1, len(self.parent)):
@@ -244,12 +320,16 @@ class Page:
             while i > 0 and i not in above:
                 above.add(i)
                 i = self.parent[i]
-        out, article, chosen = [False], [False], [False]
+        out, article, chosen = [False], [0], [False]  # article: the outermost one round a container, or 0
         for i in range(1, len(self.parent)):
             at = self.parent[i]
-            article.append(article[at] or self.tag[i] == "article")
+            article.append(article[at] or (i if self.tag[i] == "article" else 0))
             chosen.append(chosen[at] or (i in roots and self.tag[i] not in WIDE))
-            named = self.inner[i] if article[at] and self.tag[i] != "article" else self.word[i] and not self.spared[i]
+            if article[at] and self.tag[i] != "article":
+                whole = self.titled[i] or self.open[i] >= UNTITLED * self.open[article[at]]
+                named = self.inner[i] and not whole
+            else:
+                named = self.word[i] and not self.spared[i]
             menu = self.menu[i] and not article[i] and not chosen[i]
             out.append(out[at] or self.hard[i] or (i not in above and (named or menu)))
         return out

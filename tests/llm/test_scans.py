@@ -346,6 +346,60 @@ def test_names_do_not_outvote_scores(name):
     assert page.extract({page.best()}) == want
 
 
+SENTENCE = "<p>the story goes on for some more words here</p>"
+AFTER = " the story goes on for some more words here"
+
+
+@pytest.mark.parametrize(
+    "aside",
+    [
+        "<section id='comments'><h2>Replies</h2><p>mine!</p></section>",
+        "<div class='reader-comments'><p>mine!</p></div>",
+        "<section class='user-comments'><p>mine!</p></section>",
+        "<div id='comments-section'><p>mine!</p></div>",
+        "<div class='advert-box'>buy</div>",
+        "<div class='promo-box'>buy</div>",
+        "<div class='cookie-bar'>ok?</div>",
+        "<div class='sidebar-left'>side</div>",
+        "<div class='site-notice'>closed on Monday</div>",
+        "<div role='navigation'><a href=1>a</a></div>",
+        "<div role='complementary'>side</div>",
+        "<p class='ad'>buy</p>",
+        "<p hidden>unseen</p>",
+        "<p hidden=''>unseen</p>",
+        "<ul><li class='comment'>mine!</li></ul>",
+        "<p><span class='ad'>buy</span></p>",
+        "<p><span style='display: none'>unseen</span></p>",
+        "<button>Share</button>",
+        "<p><button>Share</button></p>",
+        "<select><option>one<option>two</select>",
+        "<video><p>no video here</p></video>",
+        "<object><object>deep</object>none</object>",
+        "<svg><text>drawn</text></svg>",
+        "<template><div>later</div></template>",
+        "<iframe>old</iframe><noscript>turn it on</noscript>",
+    ],
+)
+def test_asides_inside_an_article(aside):
+    page = html_main.Page(f"<body><nav>menu</nav><article>{ARTICLE}{aside}{SENTENCE}</article>")
+    assert page.extract({page.best()}) == TEXT + AFTER
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "video", "audio", "canvas", "svg", "template"])
+def test_unclosed_elements_do_not_swallow_the_article(tag):
+    page = html_main.Page(f"<article>{ARTICLE}<{tag}>label{SENTENCE}<p>and on</p></article>")
+    assert page.extract({page.best()}) == TEXT + AFTER + " and on"
+    # Closed only behind the article: its container ends it.
+    page = html_main.Page(f"<body><article>{ARTICLE}<div><{tag}>label</div>{SENTENCE}</article><div></{tag}></div>")
+    assert page.extract({page.best()}) == TEXT + AFTER
+
+
+def test_character_references_of_any_length():
+    assert html_main.decoded("&#" + "5" * 5000 + ";x") == "\ufffdx"
+    assert html_main.decoded("&#" + "0" * 5000 + "65;&#x41;&#00000000066;&#12345678;&amp;") == "AAB\ufffd&"
+    assert html_main.Page("<p>&#" + "5" * 5000 + ";").blocks == [(0, "\ufffd")]
+
+
 def test_long_comments_stay_asides():
     page = html_main.Page(f"<div class='post'>{ARTICLE}</div><div class='comments-area'><h2>Replies</h2>{'mine! ' * 400}</div>")
     assert page.extract({page.best()}) == TEXT
@@ -377,6 +431,13 @@ def test_consensus_of_the_host(spark):
 
 
 def test_hostile_pages_end():
-    for source in ("<div>" * 20_000 + "x", "<" * 50_000, "<a " * 20_000, "<a b=\"" * 20_000, "<!--" * 20_000, "</p>" * 9_000):
+    for source in ("<div>" * 20_000 + "x", "<" * 50_000, "<a " * 20_000, "<a b=\"" * 20_000, "<!--" * 20_000, "</p>" * 9_000, "<button>" * 20_000, "<p hidden>x" * 9_000, "&#" + "9" * 90_000):
         page = html_main.Page(source)
         page.extract({page.best()})
+
+
+def test_long_runs_of_digits():
+    zeros = "0" * 5000 + ".1.1.1"
+    assert pii.base_spans(zeros) == [("ip", 0, len(zeros))]
+    assert pii.base_spans("7" * 5000 + ".1.1.1") == [] == pii.base_spans("0" * 5000 + "256.1.1.1")
+    assert ("ip", 0, 11) in pii.base_spans("000.0.0.255")
