@@ -161,7 +161,7 @@ def oracle_sql() -> dict[str, str]:
             ),
             u AS (
                 SELECT r, e FROM v
-                WHERE len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+                WHERE len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0
             ),
             l AS (
                 SELECT a.r AS x, b.r AS y FROM u a JOIN u b ON a.r <> b.r AND len(a.e) = len(b.e)
