@@ -16,6 +16,7 @@ from shelfcast.functions import calendar, metrics
 from shelfcast.models import additive, boosting, design, search, tweedie
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
+from shelfcast.session import materialise
 from shelfcast.sources import canonicalise, promotions_from_star, sales_from_star
 
 # The one pandas function below travels with its task; executors need no copy of this module.
@@ -764,6 +765,34 @@ def random_search(spark, sf):
     return search.search(_series(spark, sf), _config(), trials, CUTOFFS, 30, unique=True)
 
 
+@query
+def halving_search(spark, sf):
+    """All 100 draws."""
+    trials = search.random_trials(seed=7)
+    return search.halving(_series(spark, sf), _config(), trials, CUTOFFS, 30, unique=True)
+
+
+@query
+def search_agreement(spark, sf):
+    """Winners of both searches against errors computed from every single prediction of the grid."""
+    frame, cfg, grid = materialise(_series(spark, sf)), _config(), search.grid_trials()
+    points = additive.cross_validate(frame, cfg, grid, CUTOFFS, 60, unique=True)
+    scores = materialise(metrics.cv_metrics(points))
+    least = scores.groupBy(*SERIES_KEYS).agg(F.min("rmse").alias("least"), F.max("n_scored").alias("n_scored"))
+    found = least
+    for name, best in (
+        ("searched", search.search(frame, cfg, grid, CUTOFFS, 60, unique=True)),
+        ("halved", search.halving(frame, cfg, grid, CUTOFFS, 60, unique=True)),
+    ):
+        # The error reported is that of the trial named, and no trial has a smaller one.
+        named = best.select(*SERIES_KEYS, "trial_id", F.col("rmse").alias("reported"))
+        own = named.join(scores, [*SERIES_KEYS, "trial_id"]).select(*SERIES_KEYS, "reported", "rmse")
+        room = 1e-6 * (1 + F.col("least"))
+        fits = (F.abs(F.col("reported") - F.col("rmse")) <= room) & (F.col("rmse") <= F.col("least") + room)
+        found = found.join(own, SERIES_KEYS).withColumn(name, fits).drop("reported", "rmse")
+    return found.drop("least")
+
+
 @query
 def tweedie_forecast(spark, sf):
     cfg = tweedie.TweedieConfig(train_end=TRAIN_END, valid_from=dt.date(2001, 8, 31))

@@ -119,6 +119,33 @@ def cross_validate(
     return design.mapInArrow(solve.test_batches(trials, cfg.holidays_prior, kept), schema)
 
 
+def fold_errors(
+    rows: DataFrame,
+    cfg: ForecastConfig,
+    trials: Sequence[tuple[int, float, float]],
+    cutoffs: Sequence[dt.date],
+    horizon: int,
+    keys: Sequence[str] = SERIES,
+) -> DataFrame:
+    """Test points ``n``, ``squares`` and ``sizes`` of their errors, summed by series, fold and trial.
+
+    Takes the frame of ``series_rows``. A column ``_trials`` in it, numbers of trials, says which of them a
+    series is fitted with; without it every series is fitted with all.
+    """
+    folded = with_fold(rows, cfg, cutoffs, horizon)
+    listed = "_trials" in rows.columns
+    columns = [*keys, "cutoff", "y", "is_train", "x", "y_scale", "n_cp", "n_season", "pos"]
+    # The list travels once per series and fold, not once per point.
+    design = design_matrix(folded, cfg).select(
+        *columns, *([F.when(F.col("pos") == 0, F.col("_trials")).alias("_trials")] if listed else [])
+    )
+    kept = [*keys, "cutoff"]
+    schema = T.StructType([design.schema[c] for c in kept])
+    schema = schema.add("trial_id", T.IntegerType()).add("n", T.LongType())
+    schema = schema.add("squares", "double").add("sizes", "double")
+    return design.mapInArrow(solve.error_batches(trials, cfg.holidays_prior, kept), schema)
+
+
 def apply_per_series(
     df: DataFrame,
     fn: Callable,

@@ -269,3 +269,44 @@ def test_batches(
             yield from repeated.append_column("yhat", pa.array(yhat.ravel())).to_batches()
 
     return run
+
+
+def error_batches(
+    trials: Sequence[tuple[int, float, float]], holidays_prior: float, kept: Sequence[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums of the errors of every series and fold, one row per trial instead of one per test row and trial.
+
+    With a column ``_trials``, the numbers in the first row of a series say which trials it wants.
+    """
+    numbers = np.array([t[0] for t in trials], dtype=np.int32)
+    priors = np.array([t[1:] for t in trials], dtype=float)
+    heads = ("y_scale", "n_cp", "n_season")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_tables(batches):
+            wanted = table.column("_trials") if "_trials" in table.column_names else None
+            rows, found = [], []
+            for s in series_of(table, heads):
+                asked = slice(None)
+                if wanted is not None:
+                    asked = np.flatnonzero(np.isin(numbers, wanted[s.start].as_py()))
+                scale = s.head["y_scale"]
+                sizes = int(s.head["n_cp"]), int(s.head["n_season"])
+                beta = fit_settled(
+                    s.x[s.train], s.y[s.train] / scale, *sizes, priors[asked], holidays_prior, SEARCH_TOLERANCE
+                ).beta
+                tested = ~s.train & ~np.isnan(s.y)
+                gap = s.y[tested] - beta @ s.x[tested].T * scale
+                chosen = numbers[asked]
+                rows.append(np.full(len(chosen), s.start))
+                size = np.full(len(chosen), float(tested.sum()))
+                found.append((chosen, size, (gap**2).sum(axis=1), np.abs(gap).sum(axis=1)))
+            if not rows:
+                continue
+            repeated = table.select(list(kept)).take(np.concatenate(rows))
+            for name, parts in zip(("trial_id", "n", "squares", "sizes"), zip(*found)):
+                column = np.concatenate(parts)
+                repeated = repeated.append_column(name, pa.array(column.astype(np.int64) if name == "n" else column))
+            yield from repeated.to_batches()
+
+    return run

@@ -508,6 +508,12 @@ def oracle_sql() -> dict[str, str]:
             1 AS promos FROM promo_months""",
         "forecast_optimum": f"""{series} SELECT store, business_unit, 1 AS settled, 0.0 AS slope FROM series
             WHERE ds <= DATE '2001-09-30' GROUP BY ALL HAVING count(DISTINCT ds) >= 2""",
+        "search_agreement": f"""{series}, cuts AS (SELECT unnest([DATE '2000-09-01', DATE '2000-12-01', DATE '2001-03-01',
+              DATE '2001-06-01']) AS c),
+            folds AS (SELECT store, business_unit, c, count(*) FILTER (ds <= c) AS known,
+              count(*) FILTER (ds > c AND ds <= c + INTERVAL 60 DAY) AS tested FROM series, cuts GROUP BY ALL)
+            SELECT store, business_unit, CAST(sum(tested) AS BIGINT) AS n_scored, 1 AS searched, 1 AS halved
+            FROM folds WHERE known >= 2 AND tested > 0 GROUP BY store, business_unit""",
         # November is the flag black_week on month ends, and no lockdown falls into these years.
         "tweedie_optimum": """SELECT 'month_' || m AS parameter, 0.0 AS score
             FROM (SELECT DISTINCT month(l_shipdate) AS m FROM lineitem) WHERE m NOT IN (1, 11)

@@ -181,6 +181,59 @@ def test_search_picks_the_smallest_error_and_refits(spark, series):
             assert chosen["wave"]["rmse"] == pytest.approx(np.sqrt(np.mean(errors)))
 
 
+CUTOFFS = [D(2020, 3, 1), D(2020, 9, 1), D(2021, 3, 1), D(2021, 9, 1)]
+
+
+def noisy(spark):
+    pick = np.random.default_rng(11)
+    data = rows("season", level=lambda i, d: round(wave(i, d) + 4 * pick.normal()))
+    data += rows("bent", level=lambda i, d: round(60 + 2 * abs(i - 30) + 3 * pick.normal()))
+    data += rows("noise", level=lambda i, d: int(pick.integers(0, 90))) + rows("flat", level=lambda i, d: 7)
+    data += rows("short", n=45, level=lambda i, d: 10 + i % 5) + rows("one", n=1)
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_summed_errors_are_those_of_the_predictions(spark):
+    df, trials = noisy(spark), search.random_trials(5, seed=2)
+    points = additive.cross_validate(df, CFG, trials, CUTOFFS, 60)
+    gap = F.col("y") - F.col("yhat")
+    want = points.groupBy("store", "cutoff", "trial_id").agg(
+        F.count("*").alias("n"), F.sum(gap * gap).alias("squares"), F.sum(F.abs(gap)).alias("sizes")
+    )
+    got = additive.fold_errors(design.series_rows(df, CFG), CFG, trials, CUTOFFS, 60)
+    got = {(r["store"], r["cutoff"], r["trial_id"]): r for r in got.collect()}
+    want = want.collect()
+    assert len(want) == len(got) == 5 * (4 * 4 + 2)
+    for r in want:
+        found = got[r["store"], r["cutoff"], r["trial_id"]]
+        assert (found["n"], found["squares"], found["sizes"]) == pytest.approx((r["n"], r["squares"], r["sizes"]))
+
+
+@pytest.mark.parametrize("complete", [True, False])
+def test_halving_finds_the_winner_of_the_whole_search(spark, complete):
+    df, trials = noisy(spark), search.random_trials(24, seed=5)
+    if not complete:  # nothing promises the winner here, and noise has no lasting one
+        df = df.filter("store != 'noise'")
+    want = {r["store"]: r for r in search.search(df, CFG, trials, CUTOFFS, 120).collect()}
+    got = {r["store"]: r for r in search.halving(df, CFG, trials, CUTOFFS, 120, complete=complete).collect()}
+    assert set(got) == set(want) and {"season", "bent", "flat", "short"} <= set(got)
+    for store, r in got.items():
+        assert r["rmse"] == pytest.approx(want[store]["rmse"], rel=1e-6, abs=1e-6)
+        if store != "flat":  # its errors are rounding
+            assert r["trial_id"] == want[store]["trial_id"]
+    fits = {s: r["n_fits"] for s, r in got.items()}
+    assert fits["season"] < 24 * 4 and (complete or fits["season"] == 24 + 12 + 6 + 3 < 24 * 4 / 2)
+
+
+def test_halving_revives_a_trial_dropped_too_early(spark):
+    df, trials = noisy(spark).filter("store = 'noise'"), search.random_trials(24, seed=9)
+    want = search.search(df, CFG, trials, CUTOFFS, 60).first()
+    got = search.halving(df, CFG, trials, CUTOFFS, 60, keep=0.05).first()
+    assert got["trial_id"] == want["trial_id"] and got["n_fits"] > 24 + 2 + 1 + 1
+    with pytest.raises(ValueError):
+        search.halving(df, CFG, trials, CUTOFFS, 60, keep=0)
+
+
 def test_trial_lists():
     grid = search.grid_trials()
     assert len(grid) == 16 and grid[0] == (0, 0.001, 0.01) and grid[-1] == (15, 0.5, 10.0)
