@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -16,8 +17,8 @@ from shelfcast.functions import calendar, metrics
 from shelfcast.models import additive, boosting, design, search, tweedie
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
-from shelfcast.session import materialise
-from shelfcast.sources import canonicalise, promotions_from_star, sales_from_star
+from shelfcast.session import materialise, scratch_dir
+from shelfcast.sources import canonicalise, cells, promotions_from_star, sales_from_star
 
 # The one pandas function below travels with its task; executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -437,6 +438,19 @@ def profile(spark, sf):
     )
 
 
+@query
+def profile_merged(spark, sf):
+    """Sketches of every month merged; their estimates lie within the stated error of the exact counts."""
+    sales = sales_from_star(spark, sf)
+    masked = sales.withColumn("quantity", F.when(F.col("quantity") >= 0, F.col("quantity")))
+    estimated = aggregate.merged_profile(materialise(aggregate.profile_sketches(masked)))
+    exact = aggregate.profile(masked, exact=True).select("column_name", F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return estimated.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null", (off <= aggregate.SKETCH_ERROR * F.col("exact")).alias("within")
+    )
+
+
 @query
 def distinct_values(spark, sf):
     return clean.distinct_values(sales_from_star(spark, sf), "business_unit")
@@ -509,6 +523,16 @@ def append(spark, sf):
     )
 
 
+@query
+def append_cells(spark, sf):
+    """Two files that share a month, the second added twice as after a lost driver."""
+    sales, path = _kept(spark, sf), f"{scratch_dir(spark)}/cells-{uuid.uuid4().hex}"
+    past, ahead = clean.split_by_date(sales, dt.date(2001, 6, 12), "sale_date")
+    for name, file in (("past", past), ("ahead", ahead), ("ahead", ahead)):
+        cells.append_cells(file, path, name)
+    return cells.read_cells(spark, path)
+
+
 # G. Calendar
 
 

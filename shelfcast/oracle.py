@@ -537,6 +537,11 @@ def oracle_sql() -> dict[str, str]:
         "max_date": f"{sales} SELECT CAST(max(sale_date) AS VARCHAR) AS max_date FROM sales",
         "profile": f"""WITH {SALES}, masked AS (SELECT * REPLACE (CASE WHEN quantity >= 0 THEN quantity END
             AS quantity) FROM sales) {_profile()}""",
+        "profile_merged": f"""WITH {SALES}, masked AS (SELECT * REPLACE (CASE WHEN quantity >= 0 THEN quantity END
+            AS quantity) FROM sales) SELECT column_name, n_rows, n_null, 1 AS within FROM ({_profile()})""",
+        "append_cells": f"""{kept} SELECT store, business_unit, CAST(last_day(sale_date) AS VARCHAR) AS month,
+            CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(amount) AS DOUBLE) AS amount, count(*) AS n_rows,
+            CAST(max(sale_date) AS VARCHAR) AS last_date FROM kept GROUP BY ALL""",
         "distinct_values": f"{sales} SELECT DISTINCT business_unit FROM sales",
         "time_series_folds": series
         + " "

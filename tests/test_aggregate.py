@@ -121,3 +121,48 @@ def test_profile_counts(spark):
     got = {r["column_name"]: (r["n_rows"], r["n_distinct"], r["n_null"], r["has_null"]) for r in aggregate.profile(df, exact=True).collect()}
     assert got == {"s": (2, 1, 1, True), "n": (2, 1, 0, False)}
     assert {tuple(r) for r in aggregate.profile(df).collect()} == {tuple(r) for r in aggregate.profile(df, exact=True).collect()}
+
+
+def test_merged_sketches_profile_the_whole(spark):
+    df = spark.range(30_000).selectExpr(
+        "id % 5000 AS few", "id AS every", "CASE WHEN id % 3 = 0 THEN cast(id % 7 AS string) END AS word",
+        "cast(null AS double) AS never",
+        "CASE WHEN id % 100 > 0 THEN date_add(DATE '2021-01-01', cast(id % 300 AS int)) END AS sale_date",
+    )
+    sketches = aggregate.profile_sketches(df)
+    assert sketches.count() == 5 * 11  # ten months and the rows without a date
+    early, late = sketches.filter("month < '2021-05-01'"), sketches.filter("month >= '2021-05-01' OR month IS NULL")
+    got = {r["column_name"]: r for r in aggregate.merged_profile(early.unionAll(late)).collect()}
+    want = {r["column_name"]: r for r in aggregate.profile(df, exact=True).collect()}
+    assert set(got) == set(want) and got["every"]["n_distinct"] != 0
+    for name, r in want.items():
+        found = got[name]
+        assert (found["n_rows"], found["n_null"], found["has_null"]) == (r["n_rows"], r["n_null"], r["has_null"])
+        assert abs(found["n_distinct"] - r["n_distinct"]) <= aggregate.SKETCH_ERROR * r["n_distinct"]
+    assert got["word"]["quantiles"] is None and got["never"]["quantiles"] is None
+    for found, share in zip(got["every"]["quantiles"], (0.25, 0.5, 0.75)):
+        assert abs(found / 30_000 - share) < 0.02
+
+
+def test_sketches_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "sale_date date, quantity bigint")
+    assert aggregate.merged_profile(aggregate.profile_sketches(df)).count() == 0
+
+
+@pytest.mark.parametrize("make", ["densify", "profile"])
+def test_source_is_read_once(spark, make):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    schema = "sale_date date, store string, business_unit string, quantity bigint, amount bigint"
+    df = spark.range(40).selectExpr(
+        "date_add(DATE '2021-01-01', cast(id % 9 AS int)) AS sale_date", "'s' AS store",
+        "'p' AS business_unit", "id AS quantity", "id AS amount",
+    ).mapInArrow(count, schema)
+    result = aggregate.densify(df) if make == "densify" else aggregate.profile(df, exact=True)
+    assert len(result.collect()) == (9 if make == "densify" else 5)
+    assert seen.value == 40
