@@ -18,7 +18,7 @@ from shelfcast.models import additive, boosting, design, search, tweedie
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
 from shelfcast.session import materialise, scratch_dir
-from shelfcast.sources import canonicalise, cells, promotions_from_star, sales_from_star
+from shelfcast.sources import canonicalise, cells, promotions_from_star, readers, sales_from_star
 
 # The one pandas function below travels with its task; executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -111,6 +111,29 @@ def canonical_orders(spark, sf):
     )
 
 
+def _raw_orders(spark, sf):
+    """Orders as a file would hold them: dates day first, some of them and some quantities unreadable."""
+    day = F.when(F.col("o_orderstatus") == "P", "open").otherwise(F.date_format("o_orderdate", "d.M.yyyy"))
+    number = F.col("o_orderpriority")
+    count = F.when(number == "5-LOW", number).otherwise(F.substring(number, 1, 1))
+    return _table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("postal_code"),
+        day.alias("sale_date"), count.alias("quantity"), F.col("o_totalprice").cast("string").alias("amount"),
+    )
+
+
+@query
+def typed_orders(spark, sf):
+    typed, _ = readers.typed_and_rejected(_raw_orders(spark, sf), {})
+    return typed.select("postal_code", "sale_date", "quantity", "amount")
+
+
+@query
+def rejected_orders(spark, sf):
+    _, rejects = readers.typed_and_rejected(_raw_orders(spark, sf), {})
+    return rejects.withColumn("rejected", F.array_join("rejected", ","))
+
+
 # B. Filters and value cleaning
 
 

@@ -404,6 +404,17 @@ def oracle_sql() -> dict[str, str]:
             o_orderstatus AS store, CAST(o_custkey AS VARCHAR) AS postal_code,
             o_orderpriority AS business_unit, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
             FROM orders""",
+        "typed_orders": """SELECT CAST(o_orderkey AS VARCHAR) AS postal_code,
+            CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS sale_date,
+            CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderpriority[1] AS BIGINT) END AS quantity,
+            CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM orders""",
+        "rejected_orders": """SELECT CAST(o_orderkey AS VARCHAR) AS postal_code,
+            CASE WHEN o_orderstatus = 'P' THEN 'open' ELSE strftime(o_orderdate, '%-d.%-m.%Y') END AS sale_date,
+            CASE WHEN o_orderpriority = '5-LOW' THEN o_orderpriority ELSE o_orderpriority[1] END AS quantity,
+            CAST(o_totalprice AS VARCHAR) AS amount,
+            concat_ws(',', CASE WHEN o_orderstatus = 'P' THEN 'sale_date' END,
+              CASE WHEN o_orderpriority = '5-LOW' THEN 'quantity' END) AS rejected
+            FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'""",
         "drop_returns": f"{kept} SELECT {ROW} FROM kept",
         "filter_equals": f"{sales} SELECT {ROW} FROM sales WHERE city = 'EUROPE'",
         "filter_in": f"""{sales} SELECT {ROW} FROM sales

@@ -18,7 +18,7 @@ from shelfcast.operators.aggregate import densify, monthly_promos
 from shelfcast.operators.joins import add_promos, map_lookup
 from shelfcast.plans.lines import LineConfig
 from shelfcast.session import materialise
-from shelfcast.sources.readers import canonicalise
+from shelfcast.sources.readers import canonicalise, typed_and_rejected
 
 CARRIED = {
     "store": ("city", "postal_code"),
@@ -34,6 +34,11 @@ def clean_sales(
     ``raw`` holds either the raw headers or canonical ones. A dimension maps organisation ids to
     store names; without one the frame names its stores itself.
     """
+    return clean_typed(canonicalise(line_rows(raw, line, dimension)), line, history)
+
+
+def line_rows(raw: DataFrame, line: LineConfig, dimension: DataFrame | None = None) -> DataFrame:
+    """Raw sales of the line's country, with their store names."""
     df = raw
     if dimension is not None:
         df = df.drop("Store_names", "store")
@@ -42,7 +47,12 @@ def clean_sales(
         )
     if fixed.RAW_COUNTRY in df.columns:
         df = clean.filter_equals(df, fixed.RAW_COUNTRY, line.country)
-    df = clean.drop_returns(canonicalise(df))
+    return df
+
+
+def clean_typed(sales: DataFrame, line: LineConfig, history: DataFrame) -> DataFrame:
+    """Canonical sales of one line, filtered, merged and of eligible stores."""
+    df = clean.drop_returns(sales)
     if line.store_merges:
         df = clean.replace_values(df, "store", line.store_merges)
     if line.super_divisions:
@@ -190,12 +200,13 @@ def run_product_line(
     """All frames of one line: merged daily sales, model frame, forecast, historic and predicted, scores.
 
     With ``trials``, each series is first searched for its best priors over ``cutoffs``, and fitted with those;
-    they are the frame ``best``. Scores are of the fit on its training points, in all and by product.
+    they are the frame ``best``. ``rejects`` holds the raw rows of the line's country with a value that could not be
+    typed, ``reject_counts`` their number by column; they come from the scan that reads the sales. Scores are of the fit on its training points, in all and by product.
     The merged sales and the forecast feed several frames each, so both are written once to the
     checkpoint folder.
     """
-    cleaned = clean_sales(raw, line, history, dimension)
-    new = dense_sales(cleaned, line)
+    typed, rejects = typed_and_rejected(line_rows(raw, line, dimension))
+    new = dense_sales(clean_typed(typed, line, history), line)
     merged = materialise(merged_sales(new, history, line))
     base = merged if line.model_base == "union" else new
     frame = model_frame(base, line, promotions, template_store, profile)
@@ -218,6 +229,10 @@ def run_product_line(
         "predicted": predicted,
         "scores": score(known),
         "scores_by_product": score(known, ["business_unit"]),
+        "rejects": rejects,
+        "reject_counts": rejects.select(F.explode("rejected").alias("column_name")).groupBy("column_name").agg(
+            F.count("*").alias("n_rows")
+        ),
     }
     return frames | ({"best": best} if best is not None else {})
 

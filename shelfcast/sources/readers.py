@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfcast.fixed_values import RAW_COLUMNS, RAW_PROMO_COLUMNS
 from shelfcast.schema import SALES
+from shelfcast.session import materialise
 
 _CORRUPT = "_corrupt_line"
 
@@ -73,6 +74,10 @@ def rejected_rows(
 
     A null or blank value is missing, not rejected.
     """
+    return df.withColumn("rejected", _rejected(df, mapping, date_formats)).filter(F.size("rejected") > 0)
+
+
+def _rejected(df: DataFrame, mapping: Mapping[str, str], date_formats: Sequence[str]) -> Column:
     found = []
     for field in SALES:
         raw = _sources(df, mapping).get(field.name)
@@ -81,7 +86,26 @@ def rejected_rows(
             typed = _parsed(value, df.schema[raw].dataType, field.dataType, date_formats)
             bad = (F.trim(value.cast("string")) != "") & typed.isNull()
             found.append(F.when(bad, F.lit(field.name)))
-    return df.withColumn("rejected", F.array_compact(F.array(*found))).filter(F.size("rejected") > 0)
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+def typed_and_rejected(
+    df: DataFrame,
+    mapping: Mapping[str, str] = RAW_COLUMNS,
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> tuple[DataFrame, DataFrame]:
+    """The frames of ``canonicalise`` and ``rejected_rows`` from one scan of ``df``.
+
+    The typed rows are written once to the checkpoint folder, and beside a row with a rejected value the raw row. A
+    row with a rejected value stays among the typed ones, with null for that value.
+    """
+    marked = df.withColumn("_rejected", _rejected(df, mapping, date_formats))
+    marked = marked.withColumn("_bad", F.size("_rejected") > 0)
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    kept = marked.withColumn("_raw", F.when(F.col("_bad"), raw))
+    written = materialise(canonicalise(kept, mapping, ("_bad", "_rejected", "_raw"), date_formats))
+    rejects = written.filter("_bad").select("_raw.*", F.col("_rejected").alias("rejected"))
+    return written.select(*SALES.names), rejects
 
 
 def read_raw(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast import fixed_values as fixed
 from shelfcast.plans import lines, product_line
@@ -96,6 +97,7 @@ def test_console_line_to_published_frames(spark, raw, history, dimension):
     assert {r["ds"] for r in predicted} == {D(2022, 3, 31)}
     assert all(r["yhat"] is None or r["yhat"] == int(r["yhat"]) >= 0 for r in predicted)
     assert {r["y"] for r in predicted} == {None}
+    assert frames["rejects"].count() == frames["reject_counts"].count() == 0
     historic = frames["historic"]
     assert historic.count() == historic.dropDuplicates().count() > len(predicted)
 
@@ -166,3 +168,11 @@ def test_every_line_names_known_flags():
     for line in lines.LINES.values():
         made = {f.column for f in line.flags} | ({"promos"} if line.promotions else set())
         assert set(line.regressors) <= made
+
+
+def test_a_line_reports_what_it_cannot_read(spark, raw, history, dimension):
+    quantity = next(old for old, new in fixed.RAW_COLUMNS.items() if new == "quantity")
+    text = raw.withColumn(quantity, F.when(F.monotonically_increasing_id() == 0, "many").otherwise(F.col(quantity).cast("string")))
+    frames = product_line.run_product_line(lines.CONSOLES, text, history, dimension, train_end=D(2022, 2, 28))
+    assert [tuple(r) for r in frames["reject_counts"].collect()] == [("quantity", 1)]
+    assert [r[quantity] for r in frames["rejects"].collect()] == ["many"]

@@ -143,3 +143,24 @@ def test_dates_of_other_forms_and_rejected_rows(spark):
     assert rejected == {"31/12/2021": ["sale_date"], "soon": ["sale_date", "quantity"]}
     day_first = readers.canonicalise(raw, {}, date_formats=("d/M/yyyy",)).collect()
     assert day_first[4]["sale_date"] == dt.date(2021, 12, 31)
+
+
+def test_typed_and_rejected_rows_come_from_one_scan(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    schema = "sale_date string, store string, quantity string, rejected string, extra string"
+    rows = [("31.12.2021", "A", "2.0", "own", "x"), ("soon", "B", "many", None, "y"), (None, "C", " ", None, None), ("2021-12-31", "D", "n/a", "z", None)]
+    raw = spark.createDataFrame(rows, schema).drop("rejected")
+    typed, rejects = readers.typed_and_rejected(raw.mapInArrow(count, raw.schema), {})
+    plain = sorted(map(tuple, readers.canonicalise(raw, {}).collect()), key=repr)
+    assert sorted(map(tuple, typed.collect()), key=repr) == plain and len(plain) == 4
+    want = sorted(map(tuple, readers.rejected_rows(raw, {}).collect()), key=repr)
+    assert sorted(map(tuple, rejects.collect()), key=repr) == want and len(want) == 2
+    assert rejects.columns == [*raw.columns, "rejected"] and seen.value == 4
+    typed, rejects = readers.typed_and_rejected(raw.limit(0), {})
+    assert typed.count() == rejects.count() == 0
