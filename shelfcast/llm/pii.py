@@ -3,14 +3,18 @@
 Patterns find the protected entities: mail addresses, IP addresses, card and phone numbers.  Terms near an entity can
 give it away, so the corpus is asked how much: with documents as the unit of co-occurrence, a term's pointwise
 mutual information with an entity, over the entity's own information content, is the share of the entity that the
-term discloses.  How sure that is depends on the different contexts in which the two met: the share of the term's
-documents that hold the entity enters with the lower end of its confidence interval.  The first meeting is why the pair
-is looked at, so only the others are evidence.  Terms that disclose more than a threshold are generalised to their
-class, and beyond a higher one removed, at every place of every document, whether or not it holds the entity.  Entity
-and term counts come from all documents.
+term discloses.  Of an entity's information no more than ``BITS_KEPT`` bits count, so that a term that leaves the entity
+among a given number of documents discloses the same share in a corpus of any size.  How sure the share is depends on the
+different contexts in which the two met: the share of the term's documents that hold the entity enters with the lower end
+of its confidence interval.  The first meeting is why the pair is looked at, so only the others are evidence, and only
+where chance does not explain them: from how often the term is used, the words around the entity and the number of
+pairs that met, fewer than ``BY_CHANCE`` pairs of the whole corpus would be expected to meet as often.  Terms that disclose
+more than a threshold are generalised to their class, and beyond a higher one removed, at every place of every document,
+whether or not it holds the entity.  Entity and term counts come from all documents.
 
 Defined cases: a null text is the empty text; matches that fail their check are dropped without a retry; contexts
-that are equal word for word count once, so copies of one document disclose nothing by themselves; an entity that
+count as different only where both sides differ, so copies of one document disclose nothing by themselves, and near
+copies with a change on one side of the entity neither; a side without a word takes the whole context's place; an entity that
 every document holds has nothing to disclose; words inside an entity are part of it; repeated rows are each returned;
 an empty table gives no rows.
 """
@@ -18,10 +22,11 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import texts, without
@@ -32,6 +37,8 @@ TERM = "term"
 NEAR = 10  # words before and after an entity
 CERTAIN = 1.645  # standard errors from the measured share to the one that is counted: 95% on one side
 GENERALISE, REMOVE = 0.3, 0.5  # share of the entity's information
+BITS_KEPT = 10.0  # of an entity's information; who is one of 1,024 has nothing more to lose
+BY_CHANCE = 1.0  # pairs in the whole corpus that may be expected to meet as often as a flagged one
 FLUSH = 200_000  # terms a task holds before it passes their counts on
 BITS = 1 << 24  # of the filter that tells tasks which words may be flagged terms
 SALTS = 16  # parts of a flagged term's places
@@ -123,8 +130,11 @@ def covered_words(words: list[tuple[int, int]], spans: list[Span]) -> set[int]:
     }
 
 
-def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str, str, int]]:
-    """``(entity, term, context)`` of the terms near each entity that are not part of one."""
+def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str, str, int, int]]:
+    """``(entity, term, before, after)`` of the terms near each entity that are not part of one.
+
+    ``before`` and ``after`` are hashes of the words on either side.
+    """
     import bisect
 
     import xxhash
@@ -137,16 +147,17 @@ def mentions(text: str, spans: list[Span], near: int = NEAR) -> list[tuple[str,
         first, last = bisect.bisect_left(starts, a), bisect.bisect_left(starts, b)
         chosen = [i for i in range(max(0, first - near), min(len(words), last + near)) if i not in covered]
         terms = [text[words[i][0] : words[i][1]].lower() for i in chosen]
-        context = xxhash.xxh64_intdigest(" ".join(terms).encode("utf-8", "replace")) >> 1
+        cut = bisect.bisect_left(chosen, first)
+        sides = [xxhash.xxh64_intdigest(" ".join(side or terms).encode("utf-8", "replace")) >> 1 for side in (terms[:cut], terms[cut:])]
         entity = entity_key(kind, text[a:b])
-        out += [(entity, t, context) for t in terms if is_term(t)]
+        out += [(entity, t, *sides) for t in terms if is_term(t)]
     return out
 
 
 def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
     """``doc_id``, ``text_hash``, the counts by kind, ``base`` (spans joined) and ``mentions`` of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    mention = "struct<entity:string,term:string,context:bigint>"
+    mention = "struct<entity:string,term:string,before:bigint,after:bigint>"
     schema = (
         f"doc_id {kind}, text_hash bigint, "
         + ", ".join(f"n_{k} bigint" for k in KINDS)
@@ -156,13 +167,14 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        form = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64())]))
+        names = ("entity", "term", "before", "after")
+        form = pa.list_(pa.struct(list(zip(names, [pa.string()] * 2 + [pa.int64()] * 2, strict=True))))
         for batch in batches:
             rows = batch.column(1).to_pylist()
             spans = [base_spans(text) for text in rows]
             base = [joined(s) for s in spans]
             near_by = [
-                [dict(zip(("entity", "term", "context"), m, strict=True)) for m in mentions(t, s, near)]
+                [dict(zip(names, m, strict=True)) for m in mentions(t, s, near)]
                 if s
                 else []
                 for t, s in zip(rows, spans, strict=True)
@@ -171,35 +183,52 @@ def scan(docs: DataFrame, near: int = NEAR) -> DataFrame:
             digests = [hashlib.sha256(b.encode()).hexdigest() for b in base]
             columns = [batch.column(0), batch.column(2), *counts, pa.array(base, pa.string())]
             columns += [pa.array(digests, pa.string()), pa.array(near_by, form)]
-            names = ["doc_id", "text_hash", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "mentions"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            heads = ["doc_id", "text_hash", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "mentions"]
+            yield pa.RecordBatch.from_arrays(columns, heads)
 
     return texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``term`` and ``n``, documents that hold it; a task passes on sums, at most ``FLUSH`` terms at a time."""
+    """``term``, ``n`` (documents that hold it) and ``uses``; the empty term has the uses of all words.
+
+    A task passes on sums, at most ``FLUSH`` terms at a time.
+    """
 
     def run(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import pyarrow as pa
 
-        def made(counts):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"]
-            )
+        def made(held, uses):
+            columns = [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
+            columns.append(pa.array([uses[t] for t in held], pa.int64()))
+            return pa.RecordBatch.from_arrays(columns, ["term", "n", "uses"])
 
-        counts: Counter = Counter()
+        held: Counter = Counter()
+        uses: Counter = Counter()
+        words = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(filter(is_term, set(_WORD.findall(text.lower()))))
-                if len(counts) > FLUSH:
-                    yield made(counts)
-                    counts = Counter()
-        yield made(counts)
+                used = _WORD.findall(text.lower())
+                words += len(used)
+                uses.update(used)
+                held.update(filter(is_term, set(used)))
+                if len(uses) > FLUSH:
+                    yield made(held, uses)
+                    held, uses = Counter(), Counter()
+        yield made(held, uses)
+        yield made({"": 0}, {"": words})
 
-    return texts(docs).select("text").mapInArrow(run, "term string, n bigint")
+    return texts(docs).select("text").mapInArrow(run, "term string, n bigint, uses bigint")
+
+
+def chance(met: Column, expected: Column) -> Column:
+    """Upper bound of the probability of ``met`` or more meetings where ``expected`` come by chance (Poisson)."""
+    # Stirling's bound of the factorial; the terms after the first fall at least geometrically.
+    first = met - expected - met * F.log(met / expected) - 0.5 * F.log(2 * math.pi * met)
+    bound = F.exp(first) / (1 - expected / (met + 1))
+    return F.when(met <= expected, 1.0).otherwise(F.least(F.lit(1.0), bound))
 
 
 def disclosures(
@@ -207,36 +236,39 @@ def disclosures(
     found: DataFrame,
     certain: float = CERTAIN,
     least: float = GENERALISE,
+    near: int = NEAR,
 ) -> DataFrame:
     """``entity``, ``term`` and ``share`` of the pairs whose term discloses at least ``least`` of the entity."""
     total = found.count()
     each = found.select(F.explode("mentions").alias("m")).select("m.*")
-    met = (
-        each.groupBy("entity", "term", "context")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("contexts"))
-        .filter("contexts > 1")  # others have no evidence, and a share of nothing
-    )
-    met = materialise(met)
+    apart = materialise(each.distinct())
+    differ = F.least(F.count_distinct("before"), F.count_distinct("after"))
+    met = materialise(apart.groupBy("entity", "term").agg(differ.alias("contexts")))
+    tried = met.count()
+    met = met.filter("contexts > 1")  # others have no evidence, and a share of nothing
+    around = apart.select("entity", "before", "after").distinct().groupBy("entity").agg(differ.alias("windows"))
     pairs = found.select(F.explode(F.array_distinct(F.transform("mentions", lambda m: F.struct(m["entity"], m["term"])))).alias("m"))
     pairs = pairs.select(F.col("m").getField("entity").alias("entity"), F.col("m").getField("term").alias("term"))
     together = pairs.join(met.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term")
     together = together.agg(F.count(F.lit(1)).alias("n_both")).join(met, ["entity", "term"])
     entities = found.select(F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity"))
     entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    candidates = materialise(met.select("term").distinct())
-    terms = term_counts(docs).join(candidates, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-    own = F.log2(F.lit(total) / F.col("n_entity"))
+    whole = docs.sparkSession.createDataFrame([("",)], "term string")
+    candidates = materialise(met.select("term").distinct().union(whole))
+    terms = term_counts(docs).join(candidates, "term", "left_semi").groupBy("term")
+    terms = materialise(terms.agg(F.sum("n").alias("n_term"), F.sum("uses").alias("uses")))
+    words = terms.filter("term = ''").agg(F.max("uses")).first()[0] or 1
+    own = F.least(F.log2(F.lit(total) / F.col("n_entity")), F.lit(BITS_KEPT))
     # Wilson's lower bound, copies counted once: as many trials as give the meetings after the first.
     rate = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    trials, square = (F.col("contexts") - 1) / rate, certain * certain
+    more, square = F.col("contexts") - 1, certain * certain
+    trials = more / rate
     spread = certain * F.sqrt(rate * (1 - rate) / trials + square / (4 * trials * trials))
     sure = (rate + square / (2 * trials) - spread) / (1 + square / trials)
-    mutual = F.log2(F.lit(total) * sure / F.col("n_entity"))
-    share = F.when(own > 0, mutual / own).otherwise(0.0)
-    scored = together.join(entities, "entity").join(terms, "term").withColumn("share", share)
-    return scored.filter(F.col("share") >= least).select("entity", "term", "share")
+    share = F.when(own > 0, (own + F.log2(sure)) / own).otherwise(0.0)
+    expected = (F.col("windows") - 1) * (1 - F.exp(F.col("uses") * F.lit(-2.0 * near / words)))
+    scored = together.join(entities, "entity").join(around, "entity").join(terms, "term").withColumn("share", share)
+    return scored.filter((F.col("share") >= least) & (chance(more, expected) * tried <= BY_CHANCE)).select("entity", "term", "share")
 
 
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -317,7 +349,7 @@ def find_personal_data(
     ``removed`` joins those of the term spans that are to be removed; the other terms are to be generalised.
     """
     found = materialise(scan(docs, near))
-    flagged = disclosures(docs, found, certain, generalise).groupBy("term").agg(F.max("share").alias("share"))
+    flagged = disclosures(docs, found, certain, generalise, near).groupBy("term").agg(F.max("share").alias("share"))
     flagged = materialise(flagged)
     hits = term_places(docs, flagged).withColumn("out", F.col("share") >= remove)
     each = F.transform("places", lambda p: F.struct(p["start"], p["end"], F.concat_ws(":", F.lit(TERM), p["start"], p["end"]).alias("span"), "out"))

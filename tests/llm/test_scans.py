@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -81,6 +83,41 @@ def test_terms_that_disclose_an_entity(spark, no_docs):
     assert pii.find_personal_data(no_docs).count() == 0
 
 
+def test_chance_bounds_the_poisson_tail(spark):
+    cases = [(k, e) for k in (1, 2, 5, 30) for e in (1e-4, 0.1, 0.9, 4.0, 40.0)]
+    frame = spark.createDataFrame(cases, "met bigint, expected double")
+    got = frame.withColumn("p", pii.chance(F.col("met"), F.col("expected"))).collect()
+    for r in got:
+        tail = 1 - sum(math.exp(-r.expected) * r.expected**i / math.factorial(i) for i in range(r.met))
+        assert tail <= r.p + 1e-12
+        if r.met > 2 * r.expected:
+            assert r.p <= 2 * tail + 1e-12
+
+
+@pytest.mark.parametrize("size", [300, 3000])
+def test_words_that_meet_entities_by_chance_stay(spark, size):
+    pick = random.Random(size)
+    words = ["".join(pick.choices("abcdefgh", k=5)) for _ in range(500)]
+    rows = []
+    for i in range(size):
+        text = pick.choices(words, k=60)
+        if i % 10 == 0:  # every such address stands in two documents, beside any words
+            text.insert(pick.randrange(20, 40), f"u{i % (size // 2)}@x.example")
+        rows.append((i, " ".join(text)))
+    near = [text for _, text in rows if "@" in text][:20]  # near copies: one word before the address differs
+    rows += [(size + i, text.replace(" ", " changed ", 1)) for i, text in enumerate(near)]
+    for i in range(5):
+        rows.append((2 * size + i, " ".join([*pick.choices(words, k=15), "Zorro don.diego@vega.example", *pick.choices(words, k=15)])))
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    texts = dict(rows)
+    flagged = Counter()
+    for r in found:
+        for _, a, b in (x.split(":") for x in r.spans.split(",") if x.startswith("term")):
+            flagged[texts[r.doc_id][int(a) : int(b)]] += 1
+    assert flagged.pop("Zorro") == 5
+    assert len(flagged) <= 1  # the number that chance may be expected to bring
+
+
 def test_disclosing_terms_go_wherever_they_stand(spark):
     pick = random.Random(9)
     words = [a + b + c for a in "bdfg" for b in ("ana", "ebe", "ili") for c in ("lo", "mi", "tu", "ra")]
