@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shelfcast import fixed_values as fixed
 from shelfcast.fixed_values import Rule
 from shelfcast.functions import calendar, metrics
-from shelfcast.models import additive, boosting, design, search, tweedie
+from shelfcast.models import additive, boosting, design, search, simulate, tweedie
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
 from shelfcast.session import materialise, scratch_dir
@@ -771,6 +771,22 @@ def design_matrix(spark, sf):
 SMALL = dict(changepoints=3, yearly_order=1, events=(), country_holidays=False)
 
 
+@query
+def simulated_interval(spark, sf):
+    series = _series(spark, sf)
+    known = series.filter(F.col("ds") <= TRAIN_END).groupBy("store", "business_unit")
+    known = known.agg(
+        F.min("ds").alias("first"), F.max("ds").alias("last"), F.avg("y").alias("yhat"), F.stddev_pop("y").alias("noise")
+    )
+    days = F.datediff("ds", "first") / F.datediff("last", "first")
+    ahead = series.filter(F.col("ds") > TRAIN_END).join(known, ["store", "business_unit"])
+    steps = ahead.select(
+        "store", "business_unit", "ds", days.alias("t"), "yhat", "noise", F.col("noise").alias("bend"), F.lit(25).alias("rate")
+    )
+    found = simulate.simulated_interval(steps, ["store", "business_unit"], draws=100)
+    return found.withColumns({c: F.round(c, 4) for c in ("lower", "upper")}).withColumn("ds", F.col("ds").cast("string"))
+
+
 @query
 def normal_stats(spark, sf):
     cfg = _config(**SMALL)

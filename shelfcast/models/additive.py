@@ -21,8 +21,10 @@ from shelfcast.models.design import (
     with_fold,
     with_future,
 )
+from shelfcast.models.simulate import simulated_interval
 from shelfcast.operators.clean import stamp_run
 from shelfcast.schema import ATTRIBUTES, SERIES
+from shelfcast.session import materialise
 
 
 def _with_priors(
@@ -71,9 +73,13 @@ def forecast(
     best: DataFrame | None = None,
     run_date: dt.date | None = None,
     unique: bool = False,
+    draws: int = 0,
 ) -> DataFrame:
     """Fitted history and the next periods of every series, with an interval.
 
+    The interval is analytic; with ``draws``, that of the next periods comes from so many simulated trends. Fits are
+    written once for that.
+
     One model per series. ``best`` (keys, changepoint_prior, seasonality_prior) overrides the priors
     per series. A series with fewer than two training points gets their mean and a null interval.
     Forecasts below zero become zero.
@@ -84,14 +90,27 @@ def forecast(
         *keys, *carried, "ds", "y", "is_train", *cfg.regressors, "t", "x", "y_scale",
         "n_cp", "n_season", "_cp_prior", "_season_prior", "pos",
     )
-    kept = [*keys, *carried, "ds", "y", "is_train", *cfg.regressors]
+    kept = [*keys, *carried, "ds", "y", "is_train", *cfg.regressors, "t", "n_cp"]
     schema = T.StructType([design.schema[c] for c in kept])
-    schema = schema.add("yhat", "double").add("_spread", "double")
+    for name in ("yhat", "_spread", "_noise", "_bend"):
+        schema = schema.add(name, "double")
     fitted = design.mapInArrow(solve.forecast_batches(cfg.holidays_prior, kept), schema)
     width = F.lit(NormalDist().inv_cdf(0.5 + cfg.interval_width / 2)) * F.col("_spread")
     bounded = fitted.withColumns(
         {"yhat_upper": F.col("yhat") + width, "yhat_lower": F.col("yhat") - width}
     )
+    if draws:
+        fitted = materialise(fitted)
+        steps = fitted.filter("t > 1 AND _noise IS NOT NULL").select(
+            *keys, "ds", "t", "yhat", F.col("_noise").alias("noise"), F.col("_bend").alias("bend"), F.col("n_cp").alias("rate")
+        )
+        drawn = simulated_interval(steps, keys, draws, cfg.interval_width)
+        bounded = fitted.join(drawn, [*keys, "ds"], "left").withColumns(
+            {
+                "yhat_upper": F.coalesce("upper", F.col("yhat") + width),
+                "yhat_lower": F.coalesce("lower", F.col("yhat") - width),
+            }
+        )
     columns = ["ds", *keys, *carried, *cfg.regressors, "y", "yhat", "yhat_upper", "yhat_lower"]
     return stamp_run(clip_negative(bounded).select(*columns, "is_train"), run_date)
 

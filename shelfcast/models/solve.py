@@ -179,12 +179,12 @@ def series_of(table: pa.Table, heads: Sequence[str]) -> Iterator[Series]:
 def forecast_batches(
     holidays_prior: float, kept: Sequence[str]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Add fitted values and the spread of their error to the rows of every series."""
+    """Add fitted values, the spread of their error, the noise and the mean bend to the rows of every series."""
     heads = ("y_scale", "n_cp", "n_season", "_cp_prior", "_season_prior")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_tables(batches):
-            yhat, spread = np.full((2, table.num_rows), np.nan)
+            yhat, spread, error, bend = np.full((4, table.num_rows), np.nan)
             position = table.column("t").to_numpy()
             for s in series_of(table, heads):
                 rows, known = slice(s.start, s.stop), s.y[s.train]
@@ -200,9 +200,10 @@ def forecast_batches(
                 # Trend bends keep coming at the historic rate and size after the last observation.
                 ahead = np.maximum(position[rows] - 1.0, 0.0)
                 size = np.abs(beta[0, 2 : 2 + n_cp]).mean() if n_cp else 0.0
+                error[rows], bend[rows] = scale * noise[0], scale * size
                 spread[rows] = scale * np.sqrt(noise[0] ** 2 + 2 * n_cp * size**2 * ahead**3 / 3)
             fitted = table.select(list(kept))
-            for name, column in (("yhat", yhat), ("_spread", spread)):
+            for name, column in (("yhat", yhat), ("_spread", spread), ("_noise", error), ("_bend", bend)):
                 fitted = fitted.append_column(name, pa.array(column, mask=np.isnan(column)))
             yield from fitted.to_batches()
 

@@ -716,6 +716,36 @@ monthly AS (SELECT l.*, CASE WHEN p.month_end IS NULL THEN 0 ELSE 1 END AS flag
             SELECT feature, CAST(bin AS INT) AS bin, round(sum(pow(m, 0.9) - y * pow(m, -0.1)), 4) AS g,
               round(sum(0.9 * pow(m, 0.9) + 0.1 * y * pow(m, -0.1)), 4) AS h
             FROM parts, m GROUP BY feature, bin""",
+        "simulated_interval": f"""{series}, known AS (
+              SELECT store, business_unit, min(ds) AS first, max(ds) AS last, avg(y) AS yhat, stddev_pop(y) AS noise
+              FROM series WHERE ds <= DATE '2001-09-30' GROUP BY ALL),
+            steps AS (
+              SELECT s.store, s.business_unit, s.ds, k.yhat, k.noise,
+                (s.ds - k.first) / CAST(k.last - k.first AS DOUBLE) AS t
+              FROM series s JOIN known k ON k.store = s.store AND k.business_unit = s.business_unit
+              WHERE s.ds > DATE '2001-09-30'),
+            gaps AS (
+              SELECT *, greatest(t - coalesce(lag(t) OVER (PARTITION BY store, business_unit ORDER BY ds), 1), 0) AS gap
+              FROM steps),
+            drawn AS (
+              SELECT *, md5(store || '|' || business_unit || '|' || draw || '|' || ds) AS m
+              FROM gaps CROSS JOIN (SELECT unnest(range(1, 101)) AS draw)),
+            numbers AS (
+              SELECT *, list_transform(range(0, 5),
+                lambda i: (CAST('0x' || substr(m, CAST(1 + 6 * i AS BIGINT), 6) AS BIGINT) + 0.5::DOUBLE) / 16777216) AS u
+              FROM drawn),
+            bent AS (
+              SELECT *, t - (1 - u[3]) * gap AS at, CASE WHEN u[1] < 1 - exp(-25 * gap) THEN
+                -noise * sqrt(25 * gap / (1 - exp(-25 * gap))) * sign(u[2] - 0.5) * ln(1 - 2 * abs(u[2] - 0.5))
+                ELSE 0 END AS amount FROM numbers),
+            paths AS (
+              SELECT a.store, a.business_unit, a.ds, a.draw,
+                any_value(a.yhat + a.noise * sqrt(-2 * ln(a.u[4])) * cos(2 * pi() * a.u[5]))
+                  + sum(b.amount * (a.t - b.at)) AS value
+              FROM bent a JOIN bent b ON b.store = a.store AND b.business_unit = a.business_unit AND b.draw = a.draw
+                AND b.ds <= a.ds GROUP BY ALL)
+            SELECT store, business_unit, CAST(ds AS VARCHAR) AS ds, round(quantile_cont(value, 0.1), 4) AS lower,
+              round(quantile_cont(value, 0.9), 4) AS upper FROM paths GROUP BY ALL""",
         "tag_split": f"""{series} SELECT store, CAST(ds <= DATE '2001-09-30' AS INT) AS is_train,
             CAST(ds <= DATE '2001-09-30' AND ds > DATE '2001-08-31' AS INT) AS is_valid,
             CAST(ds > DATE '2001-09-30' AS INT) AS is_predict, count(*) AS n_rows,
