@@ -18,7 +18,7 @@ from shelfcast.models import additive, boosting, design, search, simulate, tweed
 from shelfcast.operators import aggregate, clean, folds, joins
 from shelfcast.plans import lines, product_line
 from shelfcast.session import materialise, scratch_dir
-from shelfcast.sources import canonicalise, cells, promotions_from_star, readers, sales_from_star
+from shelfcast.sources import canonicalise, cells, promotions_from_star, published, readers, sales_from_star
 
 # The one pandas function below travels with its task; executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -556,6 +556,15 @@ def append_cells(spark, sf):
     return cells.read_cells(spark, path)
 
 
+@query
+def published_series(spark, sf):
+    """The second of two versions, read back from its CSV files."""
+    series, path = _series(spark, sf), f"{scratch_dir(spark)}/published-{uuid.uuid4().hex}"
+    published.publish(series.filter(F.col("ds") <= TRAIN_END), path)
+    published.publish(series, path)
+    return published.read_published(spark, path)
+
+
 # G. Calendar
 
 

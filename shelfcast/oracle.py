@@ -531,6 +531,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT name, 0.0 FROM (VALUES ('intercept'), ('store_level'), ('business_unit_level'),
             ('year_centred'), ('black_week')) n(name)""",
         "series_frame": f"{series} SELECT {SERIES_ROW} FROM series",
+        "published_series": f"{series} SELECT {SERIES_ROW} FROM series",
         "series_frame_by_day": f"""{kept}{LAST}{DAILY} SELECT g.store, city, super_division,
             product_division, g.business_unit,
             CASE WHEN month(sale_date) = 11 AND day(sale_date) > 23 THEN 1 ELSE 0 END AS black_week,
