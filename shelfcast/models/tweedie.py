@@ -87,14 +87,20 @@ def features(
     cfg: TweedieConfig,
     keys: Sequence[str] = ("store", "business_unit"),
 ) -> tuple[DataFrame, list[str]]:
-    """``df`` with the feature columns, and their names; the means of the keys come from ``train`` alone."""
+    """``df`` with the feature columns, and their names; the means of the keys come from ``train`` alone.
+
+    The level of a key is how far the logarithm of its mean lies above that of the whole; an unknown key has zero.
+    """
     with_dates = calendar_features(df, cfg.lockdowns)
     whole = train.agg(F.log(F.avg("y") + 1).alias("m")).scalar()
     for key in keys:
         means = train.groupBy(key).agg(F.log(F.avg("y") + 1).alias(f"{key}_level"))
         with_dates = with_dates.join(means, key, "left")
     filled = with_dates.withColumn("_level", whole)
-    columns = {f"{key}_level": F.coalesce(f"{key}_level", "_level", F.lit(0.0)) for key in keys}
+    # About the level of the whole, as the logarithm grows with the sales and a column far from zero beside its spread is
+    # nearly a copy of the intercept: the rounding of its products would keep the fits from settling.
+    level = F.coalesce("_level", F.lit(0.0))
+    columns = {f"{key}_level": F.coalesce(f"{key}_level", level) - level for key in keys}
     columns |= {r: F.coalesce(F.col(r).cast("double"), F.lit(0.0)) for r in cfg.regressors}
     columns |= {f"month_{m}": (F.col("month") == m).cast("double") for m in range(2, 13)}
     # Centred, so that the intercept and the trend are not two copies of one column.

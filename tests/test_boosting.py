@@ -195,3 +195,51 @@ def test_fits_settle_at_high_levels(spark):
     tagged = tweedie.tag_split(series, cfg.train_end, cfg.valid_from)
     for ridge in tweedie.RIDGE[::3]:
         assert tweedie._trained(tagged, cfg, KEYS, ridge)[1].summary.numIterations < 20
+
+
+def test_fits_settle_where_sales_are_many_and_levels_alike(spark):
+    """Months of a large table: levels far from zero beside their spread, nearly copies of the intercept."""
+    rows = [
+        (
+            f"s{i % 40}",
+            f"p{i % 23}",
+            D(2015 + k // 12, k % 12 + 1, 28),
+            1_000_000 + 60 * (i % 40) + 50 * (i % 23) + (i * 7919 + k * 104729) % 20_011 + 30_000 * (k % 12 == 10),
+            int(k % 12 == 10),
+        )
+        for i in range(300)
+        for k in range(36)
+    ]
+    series = spark.createDataFrame(rows, "store string, business_unit string, ds date, y bigint, black_week int")
+    cfg = tweedie.TweedieConfig(train_end=D(2017, 12, 31), valid_from=D(2017, 11, 30))
+    found = {r["parameter"]: r["score"] for r in tweedie.optimum(series, cfg, tweedie.RIDGE[0]).collect()}
+    assert {"intercept", "store_level", "business_unit_level", "black_week", "year_centred"} < set(found)
+    assert max(map(abs, found.values())) < 1e-9
+
+    wide, model, names = tweedie._trained(
+        tweedie.tag_split(series, cfg.train_end, cfg.valid_from), cfg, KEYS, tweedie.RIDGE[0]
+    )
+    got = model.transform(wide.filter("is_train")).select("y", "y_prediction", *names).toPandas()
+    x, y = got[names].to_numpy(), got["y"].to_numpy()
+    center = x.mean(axis=0)
+    design = np.column_stack([np.ones(len(x)), x - center])
+    penalty = np.diag([0.0] + [tweedie.RIDGE[0]] * len(names))
+    beta = np.r_[np.log(y.mean()), np.zeros(len(names))]
+    for _ in range(20):  # reweighted least squares by hand
+        mu = np.exp(design @ beta)
+        weight = mu ** (2 - cfg.power)
+        work = design @ beta + (y - mu) / mu
+        squares = design.T @ (design * weight[:, None]) / weight.sum()
+        beta = np.linalg.solve(squares + penalty, design.T @ (weight * work) / weight.sum())
+    assert got["y_prediction"].to_numpy() == pytest.approx(np.exp(design @ beta), rel=1e-9)
+
+
+def test_unknown_keys_have_the_level_of_the_whole(spark):
+    rows = [("a", "p", D(2020, 1, 31), 4, 0), ("b", "p", D(2020, 1, 31), 8, 0), ("new", None, D(2020, 2, 29), 0, 0)]
+    df = spark.createDataFrame(rows, "store string, business_unit string, ds date, y bigint, black_week int")
+    wide, _ = tweedie.features(df, df.filter("ds < '2020-02-01'"), tweedie.TweedieConfig())
+    got = {r["store"]: (r["store_level"], r["business_unit_level"]) for r in wide.collect()}
+    assert got["a"] == pytest.approx((np.log(5 / 7), 0.0)) and got["b"] == pytest.approx((np.log(9 / 7), 0.0))
+    assert got["new"] == (0.0, 0.0)
+    wide, _ = tweedie.features(df, df.filter("false"), tweedie.TweedieConfig())
+    assert all(r["store_level"] == r["business_unit_level"] == 0.0 for r in wide.collect())
